@@ -29,6 +29,22 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), _path("byte_bpe_multi_50k.tiktoken"), _pattern())
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmesh.llm.html_text import extract_pages
+
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quillmesh.llm.pii import BASE, digest, find_personal_data
+
+    found = find_personal_data(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, BASE), F.sha2(digest("base"), 256).alias("base_sha256"), digest("found").alias("spans"))
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmesh.llm.warc import archive_round_trip
 
@@ -115,8 +131,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), _path("piece_bpe_32k.model"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmesh.llm.decontamination import find_copies
+
+    return find_copies(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fertility, op4_warc_revisits, op5_packing, op6_chat, op7_toxicity, op9_token_counts)}
+    return {f.__name__: f for f in (
+        op1_fertility, op2_html_text, op3_pii, op4_warc_revisits, op5_packing, op6_chat, op7_toxicity, op9_token_counts, op10_decontamination,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, mix64, stored, texts_of
+from quillmesh.llm.common import map_batches, mix64, normal_word, stored, texts_of
 
 #: Characters in the longest n-gram, bits of a character, log2 of the cells of a table, and the discount.
 ORDER, BITS, CELLS, DISCOUNT = 5, 12, 19, 0.75
@@ -30,12 +30,6 @@ CLASSES = (0, 1)
 FEATURES = ("per_char", "top", "top3", "share")
 
 
-def normal_word(token: str) -> str:
-    """Lower case, without the punctuation around it."""
-    word = token.lower()
-    return word if word.isalnum() else word.strip("".join(c for c in set(word) if not c.isalnum()))
-
-
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(code of the n-gram that ends at each character or word end, its word's index). A code packs ORDER characters
     of BITS bits; characters beyond the range share cells."""
