@@ -125,6 +125,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmesh.llm.shingle_join import link_documents
+
+    return link_documents(read(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmesh.llm.token_counts import count_tokens
 
@@ -139,7 +145,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_fertility, op2_html_text, op3_pii, op4_warc_revisits, op5_packing, op6_chat, op7_toxicity, op9_token_counts, op10_decontamination,
+        op1_fertility, op2_html_text, op3_pii, op4_warc_revisits, op5_packing, op6_chat, op7_toxicity, op8_shingle_join, op9_token_counts, op10_decontamination,
     )}
 
 

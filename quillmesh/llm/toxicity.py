@@ -201,20 +201,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, calibration: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted) of each row of docs. labels (id, toxic): repeated ids take their largest label,
+def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, calibration: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep..., held_out, score, predicted) of each row of docs. labels (id, toxic): repeated ids take their largest label,
     null labels are no labels. A null text is empty; an empty text has the score of no evidence. Without labelled rows
     of both classes every score is 0. Repeated rows give a row each; null ids are scored too; other columns are dropped."""
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.withColumn("half", _second_half(id_col).cast("int"))
     texts = docs.select(id_col, F.col(text_col).alias("text")).where(F.col(id_col).isNotNull() & ~is_held_out(id_col))
     models = train(texts.join(known.hint("shuffle_hash"), id_col).select("toxic", "half", "text"))
-    score_schema = f"{id_col} {kind}, held_out boolean, score double"
-    rows = docs.select(id_col, is_held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    given = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in (id_col, *keep))
+    rows = docs.select(id_col, *keep, is_held_out(id_col).alias("held_out"), F.col(text_col).alias("_scored"))
     if models is None:
-        return rows.select(id_col, "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return rows.select(id_col, *keep, "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
 
     half = spark.sparkContext.broadcast(models[0])
 
@@ -237,7 +236,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, c
     def run(batches):
         model = full.value
         for b in batches:
-            z = (model.features(texts_of(b.column(2))) - mean) / scale
-            yield {id_col: b.column(0), "held_out": b.column(1), "score": 1 / (1 + np.exp(-np.clip(weights[0] + z @ weights[1:], -30, 30)))}
+            z = (model.features(texts_of(b.column(b.num_columns - 1))) - mean) / scale
+            yield {c: b.column(k) for k, c in enumerate((id_col, *keep, "held_out"))} | {"score": 1 / (1 + np.exp(-np.clip(weights[0] + z @ weights[1:], -30, 30)))}
 
-    return map_batches(rows, run, score_schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return map_batches(rows, run, f"{given}held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
