@@ -86,7 +86,8 @@ def attr_block(attrs: DataFrame, weights: DataFrame, sizes: DataFrame, conf: Con
 
 def price_tiers(rows: DataFrame, group: list[str], price: str, fallback: list[str] | None = None, conf: Config = DEFAULT) -> DataFrame:
     """rows with tier (0 low, 1 middle, 2 high, 3 spike), src (0 the group, 1 the fallback), ratio and flag: quartiles
-    by index of the positive prices of the group, or of the fallback group where it has too few."""
+    by index of the positive prices of the group, or of the fallback group where it has too few. A ratio a hair below a half in
+    the third digit goes up, so that engines whose divisions differ in the last bit agree."""
     positive = rows.where(F.col(price) > 0)
     stats = index_quartiles(positive, group, price).select(*group, *[F.col(c).alias(f"g_{c}") for c in ("n", "q1", "median", "q3")])
     joined = rows.join(stats, group, "left")
@@ -103,7 +104,7 @@ def price_tiers(rows: DataFrame, group: list[str], price: str, fallback: list[st
     tier = F.when(~F.coalesce(judged, F.lit(False)), 1).when((p < q1 - reach) | (p > q3 + reach), 3).when(p < q1, 0).when(p > q3, 2).otherwise(1)
     out = joined.withColumns({
         "tier": tier.cast("long"), "src": F.when((p <= 0) | enough, 0).otherwise(1).cast("long"),
-        "ratio": F.when(judged & (median > 0), F.round(p / median, 3)).otherwise(1.0),
+        "ratio": F.when(judged & (median > 0), F.round(p / median + 1e-9, 3)).otherwise(1.0),
     })
     return out.withColumn("flag", (F.col("tier") == 3).cast("long")).drop(*[f"{s}_{c}" for s in "gf" for c in ("n", "q1", "median", "q3")])
 
