@@ -272,11 +272,12 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     counted anew."""
     others = tuple(c for c in docs.columns if c != id_col)
     found = find_personal_data(docs, id_col=id_col, text_col=text_col, keep=others)
-    given = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns)
+    names = docs.columns
+    given = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches):
         for b in batches:
-            columns = {c: b.column(i) for i, c in enumerate(docs.columns)}
+            columns = {c: b.column(i) for i, c in enumerate(names)}
             texts = [
                 t if t is None else redact(t, [(s["start"], s["stop"], s["kind"]) for s in spans])
                 for t, spans in zip(columns[text_col].to_pylist(), b.column(b.num_columns - 1).to_pylist())
@@ -286,5 +287,5 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 columns["n_chars"] = [n if t is None else len(t) for n, t in zip(columns["n_chars"].to_pylist(), texts)]
             yield columns
 
-    return map_batches(found.select(*docs.columns, "found"), run, given)
+    return map_batches(found.select(*names, "found"), run, given)
 
