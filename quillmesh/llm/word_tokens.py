@@ -16,7 +16,7 @@ import numpy as np
 class WordTokens:
     """ids(text) for a .tiktoken vocabulary. special: string of special tokens to ids, matched inside texts."""
 
-    def __init__(self, path: str, pattern: str, special: dict[str, int] | None = None, limit: int = 400_000):
+    def __init__(self, path: str, pattern: str, special: dict[str, int] | None = None, limit: int = 900_000):
         import tiktoken
 
         with open(path, "rb") as f:
@@ -28,7 +28,7 @@ class WordTokens:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.starts, self.lengths, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32)
-        self.n, self.used = 0, 0
+        self.n, self.used, self.new_ids, self.new_lengths = 0, 0, [], []
 
     def _whole(self, text: str) -> np.ndarray:
         ids = self.encoding.encode(text, allowed_special="all") if self.special else self.encoding.encode_ordinary(text)
@@ -39,15 +39,24 @@ class WordTokens:
             self.index[word] = -1
             return -1
         ids = self.encoding.encode_ordinary(" " + word)
-        while self.used + len(ids) > len(self.flat):
+        self.new_ids += ids
+        self.new_lengths.append(len(ids))
+        self.index[word] = n = self.n
+        self.n = n + 1
+        return n
+
+    def _grow(self) -> None:
+        """Takes the words added since the last time into the arrays."""
+        size, end = np.array(self.new_lengths, np.int64), self.used + len(self.new_ids)
+        old = self.n - len(size)
+        while end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if self.n == len(self.starts):
+        while self.n > len(self.starts):
             self.starts, self.lengths = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[self.n], self.lengths[self.n] = self.used, len(ids)
-        self.index[word] = self.n
-        self.n, self.used = self.n + 1, self.used + len(ids)
-        return self.n - 1
+        self.flat[self.used : end] = self.new_ids
+        self.lengths[old : self.n] = size
+        self.starts[old : self.n] = self.used + np.cumsum(size) - size
+        self.used, self.new_ids, self.new_lengths = end, [], []
 
     def ids(self, text: str) -> np.ndarray:
         if not text:
@@ -61,7 +70,10 @@ class WordTokens:
             self._clear()
         codes = list(map(self.index.get, words))
         if None in codes:
-            codes = [self._add(w) if (k := self.index.get(w)) is None else k for w in words]
+            get, add = self.index.get, self._add
+            codes = [k if k is not None else add(w) if (n := get(w)) is None else n for k, w in zip(codes, words)]
+            if self.new_lengths:
+                self._grow()
         k = np.array(codes, np.int64)
         if k.min() < 0:
             return self._whole(text)
