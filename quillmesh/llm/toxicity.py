@@ -25,7 +25,7 @@ from quillmesh.llm.common import map_batches, mix64, normal_word, stored, texts_
 #: Characters in the longest n-gram, bits of a character, log2 of the cells of a table, and the discount.
 ORDER, BITS, CELLS, DISCOUNT = 5, 12, 19, 0.75
 FRONT, BACK = 1, 2
-KEPT = 250_000
+KEPT = 150_000
 CLASSES = (0, 1)
 FEATURES = ("per_char", "top", "top3", "share")
 
@@ -92,8 +92,8 @@ class CharModel:
         if len(self.kept) > KEPT:
             self.kept.clear()
         new = list(set().union(*split) - self.kept.keys()) if split else []
-        for k in range(0, len(new), 50_000):
-            self.add_words(new[k : k + 50_000])
+        for k in range(0, len(new), 10_000):
+            self.add_words(new[k : k + 10_000])
         out = np.zeros((len(texts), len(FEATURES)))
         for row, tokens in zip(out, split):
             if tokens:
