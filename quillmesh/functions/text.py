@@ -79,10 +79,14 @@ def token_overlap(a: Column | str, b: Column | str) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
 
 
+def same_brand(x: Column, y: Column) -> Column:
+    """brand_match of brands that are normalised already: where pairs are many, normalise each side once."""
+    return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).when(F.contains(x, y) | F.contains(y, x), 0.5).otherwise(0.0)
+
+
 def brand_match(a: Column | str, b: Column | str) -> Column:
     """1 for equal brands, 0.5 where one holds the other, else 0; unknown brands match nothing."""
-    x, y = normalize_brand(a), normalize_brand(b)
-    return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).when(F.contains(x, y) | F.contains(y, x), 0.5).otherwise(0.0)
+    return same_brand(normalize_brand(a), normalize_brand(b))
 
 
 def price_ratio(a: Column | str, b: Column | str) -> Column:

@@ -55,7 +55,7 @@ def extract(texts: DataFrame, schemas: DataFrame, key: str = "niche_key", id_col
                     rows.append((pk, s["attr"], number, value, s["unit"], bool(s["numeric"]), priority, s["label"] or s["attr"][:6], m[0], s["tolerance"]))
             yield pd.DataFrame(rows, columns=[id_col, *(c.split()[0] for c in EXTRACTED.split(", "))])
 
-    joined = texts.join(F.broadcast(schemas.select(key, "separators")), key)  # schemas: a row for each niche
+    joined = texts.join(schemas.select(key, "separators"), key)  # broadcast by Spark if it is small
     return joined.select(id_col, text, "separators").mapInPandas(run, f"{id_col} {kind}, {EXTRACTED}")
 
 
@@ -121,5 +121,5 @@ def merge_synonyms(groups: DataFrame) -> DataFrame:
 
 def canonical_keys(attrs: DataFrame, synonyms: DataFrame) -> DataFrame:
     """attrs with canonical attribute names."""
-    s = F.broadcast(synonyms.select(F.col("variant").alias("attr"), "canonical"))  # one row a known spelling
+    s = synonyms.select(F.col("variant").alias("attr"), "canonical")
     return attrs.join(s, "attr", "left").withColumn("attr", F.coalesce("canonical", "attr")).drop("canonical").select(*attrs.columns)

@@ -33,7 +33,7 @@ def token_scores(members: DataFrame, conf: Config = DEFAULT) -> DataFrame:
 
 
 def brand_score(brand: str, cluster_brand: str) -> Column:
-    match = brand_match(brand, cluster_brand)
+    match = brand_match(brand, cluster_brand)  # one row a product, so both sides are normalised here
     unknown = (F.coalesce(F.col(brand), F.lit("")) == "") | (F.coalesce(F.col(cluster_brand), F.lit("")) == "")
     return F.when(unknown, 0.03).when(match == 1.0, 0.10).when(match == 0.5, 0.05).otherwise(0.0)
 
@@ -73,7 +73,7 @@ def attr_block(attrs: DataFrame, weights: DataFrame, sizes: DataFrame, conf: Con
     """(pk_id, mismatches): products that differ in an attribute that weights (attr, block, type) blocks on; attrs
     carries value_num for numeric attributes and value_str (canonical) for the others."""
     text = F.coalesce(F.col("value_num").cast("string"), F.col("value_str"))
-    own = attrs.withColumn("as_text", text).join(F.broadcast(weights.where("block").select("attr", "type")), "attr")
+    own = attrs.withColumn("as_text", text).join(weights.where("block").select("attr", "type"), "attr")
     kept = without_outliers(own, "cluster_gid", "attr", "as_text", sizes, conf.outlier_cluster)
     keys = ["cluster_gid", "attr"]
     numeric = dominant_groups(kept.where("type = 'numeric'"), keys, "value_num", conf.dominance_numeric).where("n >= 3 and dominant > 0")

@@ -18,18 +18,19 @@ from quillmesh.sources import sinks, tables
 
 
 def scope(spark: SparkSession, path: str, category_id: int | None, niche_key: int | None) -> DataFrame:
-    """The products of a category or niche, with tokens and vectors of their names without numbers."""
+    """The products of a category or niche, with tokens and vectors of their names without numbers. They are stored, as
+    a model's output is used by many steps and should be made once."""
     p = tables.products(spark, path)
     if category_id is None and niche_key is None:
         raise ValueError("a category or a niche is needed")
     p = tables.by_niche(p, niche_key) if niche_key is not None else tables.by_category(p, category_id)
     p = tables.coalesced(p).withColumns({"tokens": tokenize("name"), "plain": strip_numbers("name")})
-    return providers.embed(p, "plain").drop("plain")
+    return tables.saved(providers.embed(p, "plain").drop("plain"))
 
 
 def scored(products: DataFrame, assigned: DataFrame, attrs: DataFrame, review_mode: bool, conf: Config = DEFAULT) -> DataFrame:
-    """Products with score, decision, reason and cluster."""
-    m = products.join(assigned, "pk_id")
+    """Products with score, decision, reason and cluster, stored."""
+    m = tables.saved(products.join(assigned, "pk_id"))
     summary = graph.cluster_summary(m).select("cluster_gid", "avg_price", F.col("brand").alias("cluster_brand"), "size")
     centroid = aggregates.centroid_vectors(aggregates.centroids(m, "cluster_gid", "embedding"), "cluster_gid")
     m = m.join(summary, "cluster_gid").join(centroid, "cluster_gid", "left")
@@ -45,18 +46,19 @@ def scored(products: DataFrame, assigned: DataFrame, attrs: DataFrame, review_mo
         "embedding_score": scoring.embedding_score(cosine("embedding", "centroid")), "brand_score": scoring.brand_score("brand", "cluster_brand"),
         "attr_score": F.coalesce("attr_score", F.lit(0.0)), "price_score": price, "item_ratio": F.coalesce(ratio, F.lit(0.0)), "flags": flag,
     })
-    return scoring.decide(parts, conf)
+    parts = tables.saved(parts.drop("embedding", "centroid", "tokens"))
+    return tables.saved(scoring.decide(parts, conf))
 
 
 def rebuild(spark: SparkSession, path: str, category_id: int | None = None, niche_key: int | None = None, conf: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """(assignments, moves): new clusters from blocking and communities, scored and compared with the old ones."""
     p = scope(spark, path, category_id, niche_key)
-    near = blocking.embedding_edges(blocking.nearest(p, conf.knn_k, conf.min_similarity), p, conf)
-    edges = blocking.all_edges(near, blocking.brand_edges(p, conf, near))
+    near = tables.saved(blocking.embedding_edges(blocking.nearest(p, conf.knn_k, conf.min_similarity), p, conf))
+    edges = tables.saved(blocking.all_edges(near, blocking.brand_edges(p, conf, near)))
     nodes = p.select(F.col("pk_id").alias("node"))
     old = tables.assignments(spark, path)
     first = sinks.next_gid(old).first()["next_gid"]
-    gids = graph.allocate_gids(graph.communities(edges, conf.resolution, nodes), first).select(F.col("node").alias("pk_id"), "cluster_gid")
+    gids = graph.allocate_gids(tables.saved(graph.communities(edges, conf.resolution, nodes)), first).select(F.col("node").alias("pk_id"), "cluster_gid")
     out = scored(p, gids, tables.attrs(spark, path).drop("cluster_gid"), False, conf)
     return out.where("decision <> 'quarantine'").select("pk_id", "cluster_gid", "score", "niche_key"), _moves(out, old)
 

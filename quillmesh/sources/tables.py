@@ -6,6 +6,8 @@ ranked over their distinct keys, never over the facts.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +18,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df through the folder that executors share, which ends its lineage."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or ("/tmp/checkpoints/quillmesh" if spark.sparkContext.master.startswith("local") else None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{base.rstrip('/')}/quillmesh-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def numbered(keys: DataFrame, name: str, base: int = 0) -> DataFrame:
     """Distinct keys with consecutive numbers in their order. The rank within each range partition is added to the
     sizes of the partitions before it, so no task sorts all keys."""
     dealt = keys.distinct().repartitionByRange(*[F.col(c) for c in keys.columns]).withColumn("_part", F.spark_partition_id())
-    inner = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*keys.columns)))
-    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    inner = saved(dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*keys.columns))))
+    sizes = inner.groupBy("_part").agg(F.count("*").alias("_n"))  # one row a partition
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return inner.join(F.broadcast(before), "_part").select(*keys.columns, (F.col("_rank") + F.col("_before") + base).cast("long").alias(name))
 

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillmesh.functions.text import same_brand
 from quillmesh.operators import aggregates, attributes, blocking, graph, mining, providers, review, scoring
 from quillmesh.plans import pipelines
 from quillmesh.sources import sinks, tables
@@ -44,7 +45,8 @@ def test_codes(spark):
 def test_edge_weight(spark):
     def weight(sim, a, b, jac, ratio):
         df = spark.createDataFrame([(a, b)], "a string, b string")
-        return df.select(blocking.edge_weight(F.lit(sim), "a", "b", F.lit(jac), F.lit(ratio))).first()[0]
+        match, known = same_brand(F.col("a"), F.col("b")), (F.col("a") != "") & (F.col("b") != "")
+        return df.select(blocking.edge_weight(F.lit(sim), match, known, F.lit(jac), F.lit(ratio))).first()[0]
 
     assert weight(0.90, "x", "x", 0.6, 1.0) == pytest.approx(0.925)
     assert weight(0.90, "x", "y", 0.0, 1.0) == pytest.approx(0.5355)
