@@ -342,6 +342,12 @@ def attr_anomaly(spark, sf_dir):
     return scoring.anomaly_pass(d, tables.attrs(spark, sf_dir)).select("pk_id", "decision", "reason")
 
 
+@query(sql("select pk_id, case when size <= 2 then 'grey' else 'ok' end as decision from assignments join sizes using (cluster_gid)"))
+def small_cluster_flag(spark, sf_dir):
+    d = tables.assignments(spark, sf_dir).withColumns({"decision": F.lit("ok"), "reason": F.lit("")})
+    return scoring.anomaly_pass(d, tables.attrs(spark, sf_dir).where("attr = 'type'")).select("pk_id", "decision")
+
+
 @query(sql("select pk_id, case when pk_id % 3 = 0 then 'ok' when pk_id % 100 / 100.0 >= 0.85 then 'ok' when pk_id % 100 / 100.0 <= 0.20 then 'quarantine' else 'grey' end as decision from products"))
 def reranker_route(spark, sf_dir):
     p = tables.products(spark, sf_dir).select("pk_id", F.when(F.col("pk_id") % 3 == 0, "ok").otherwise("grey").alias("decision"), (F.col("pk_id") % 100 / 100.0).alias("s"))
