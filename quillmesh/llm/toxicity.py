@@ -87,7 +87,12 @@ class CharModel:
         for t, w, r in zip(tokens, words, ratio.tolist()):
             self.kept[t] = (r, len(w)) if w else (0.0, 0)
 
-    def features(self, texts: list[str]) -> np.ndarray:
+    def features(self, texts: list[str], block: int = 128) -> np.ndarray:
+        """A row of FEATURES for each text; the words of one block of texts are held at a time."""
+        blocks = [self._features(texts[k : k + block]) for k in range(0, len(texts), block)]
+        return np.concatenate(blocks) if blocks else np.zeros((0, len(FEATURES)))
+
+    def _features(self, texts: list[str]) -> np.ndarray:
         split = [t.split() for t in texts]
         if len(self.kept) > KEPT:
             self.kept.clear()
