@@ -1,26 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment (operator 10).
+"""Benchmark decontamination: n-gram seeds, then local alignment (operator 10).
 
-Test items are few beside the corpus, so they go to every task, in blocks of a bounded size. A scan finds the seeds
-(word n-grams of the items) in each document; hits close to one diagonal of document and item make a window, kept as
-item word numbers, so the text isn't needed again. Document frequencies of the seeds come from all windows; a window
-goes on if it has a seed that is rare in the corpus, or that is among the rarer half of its own item's seeds (else an
-item that leaked everywhere would have none). Smith-Waterman alignment of item and window then scores the copy.
+Test items are few beside the corpus, so they go to every task, in blocks of a bounded size. One scan finds the seeds
+(word n-grams of the items) in each document; hits close to one diagonal of document and item make a window. However
+common its seeds are, every window whose words allow a copy is scored by a Smith-Waterman alignment with its item;
+equal windows of an item, which passages that leaked widely give, are aligned once in a task.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, normal_word, stored, texts_of
+from quillmesh.llm.common import map_batches, normal_word, texts_of
 
 #: Bytes of item text that one pass takes to the tasks.
 BLOCK_BYTES = 16 << 20
 KEPT = 300_000
+KEPT_WINDOWS = 100_000
 
 
 @dataclass
@@ -34,6 +36,7 @@ class Items:
     rows: list[np.ndarray] = field(default_factory=list)
     seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
     kept: dict[str, int] = field(default_factory=dict)
+    aligned: dict[tuple[int, bytes], tuple | None] = field(default_factory=dict)
 
     def __post_init__(self):
         for text in self.texts:
@@ -78,9 +81,9 @@ class Items:
         row = np.array(found, np.int64)
         return row[row > -2] if len(row) else row
 
-    def windows(self, row: np.ndarray, slack: float) -> list[tuple[int, int, list[int], np.ndarray]]:
-        """(item, first word, seed codes, word numbers) around the seed hits of a document; windows of an item that
-        overlap are one."""
+    def windows(self, row: np.ndarray, slack: float) -> list[tuple[int, int, np.ndarray]]:
+        """(item, first word, word numbers) around the seed hits of a document; windows of an item that overlap are
+        one."""
         hits = defaultdict(list)
         for n, seeds in self.sorted.items():
             if len(seeds) and len(row) >= n:
@@ -88,20 +91,31 @@ class Items:
                 place = np.minimum(np.searchsorted(seeds, codes), len(seeds) - 1)
                 for k in np.flatnonzero((seeds[place] == codes) & (codes > 0)).tolist():
                     for item, offset in self.seeds[int(codes[k])]:
-                        hits[item].append((k - offset, int(codes[k])))
+                        hits[item].append(k - offset)
         out = []
         for item, found in hits.items():
             size, found = len(self.rows[item]), sorted(found)
             room = int(size * slack) + 4
-            start, stop, codes = found[0][0] - room, found[0][0] + size + room, {found[0][1]}
-            for diagonal, code in found[1:]:
+            start, stop = found[0] - room, found[0] + size + room
+            for diagonal in found[1:]:
                 if diagonal - room <= stop:
-                    stop, codes = diagonal + size + room, codes | {code}
+                    stop = diagonal + size + room
                 else:
-                    out.append((item, start, codes, stop))
-                    start, stop, codes = diagonal - room, diagonal + size + room, {code}
-            out.append((item, start, codes, stop))
-        return [(i, max(0, a), sorted(c), row[max(0, a) : max(0, b)]) for i, a, c, b in out]
+                    out.append((item, start, stop))
+                    start, stop = diagonal - room, diagonal + size + room
+            out.append((item, start, stop))
+        return [(i, max(0, a), row[max(0, a) : max(0, b)]) for i, a, b in out]
+
+    def copies(self, text: str, slack: float, *rule) -> Iterator[tuple[int, int, tuple[float, int, int, int]]]:
+        """(item, first word, result of is_copy) of the windows of a text that hold a copy by that rule."""
+        for item, first, window in self.windows(self.numbers(text), slack):
+            key = item, hashlib.blake2b(window.tobytes(), digest_size=16).digest()
+            if key not in self.aligned:
+                if len(self.aligned) > KEPT_WINDOWS:
+                    self.aligned.clear()
+                self.aligned[key] = is_copy(self.rows[item], window, *rule)
+            if copy := self.aligned[key]:
+                yield item, first, copy
 
 
 def align(item: np.ndarray, window: np.ndarray, match: int = 2, mismatch: int = -1, gap: int = -1) -> tuple[int, int, int, int]:
@@ -144,12 +158,12 @@ def is_copy(item: np.ndarray, window: np.ndarray, least: float, run: int, identi
 
 
 def find_copies(
-    docs: DataFrame, items: DataFrame, n: int = 3, rare: float = 0.001, least: float = 0.5, run: int = 20, identity: float = 0.75, slack: float = 0.5,
+    docs: DataFrame, items: DataFrame, n: int = 3, least: float = 0.5, run: int = 20, identity: float = 0.75, slack: float = 0.5,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
 ) -> DataFrame:
     """(doc_id, item_id, share, matches, first_word, last_word): the copies of items in documents, the best window of
-    each pair. rare: the share of documents up to which a seed counts as rare. Null and empty texts and items have no
-    copies; repeated documents give a row each window; repeated items each count; null ids stay."""
+    each pair. Null and empty texts and items have no copies; repeated documents give a row each window; repeated items
+    each count; null ids stay."""
     spark = docs.sparkSession
     kinds = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, {item_col} {items.schema[item_col].dataType.simpleString()}"
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -165,35 +179,12 @@ def find_copies(
             for b in batches:
                 found = []
                 for key, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
-                    for item, first, codes, window in own.windows(own.numbers(text), slack):
-                        if int(np.isin(own.rows[item], window).sum()) >= min(least * len(own.rows[item]), run):
-                            found.append((key, own.ids[item], item, first, codes, window))
-                if found:
-                    yield dict(zip((id_col, item_col, "item", "first", "codes", "words"), zip(*found)))
-
-        schema = f"{kinds}, item int, first long, codes array<long>, words array<long>"
-        windows = stored(map_batches(docs.select(id_col, text_col), scan, schema), "decontamination")
-        # bounded by the seeds of the block
-        counted = windows.select("item", F.explode("codes").alias("code")).groupBy("item", "code").count().collect()
-        limit = max(20, rare * docs.count())
-        own_counts = defaultdict(list)
-        for r in counted:
-            own_counts[r["item"]].append(r["count"])
-        middle = {i: float(np.median(c)) for i, c in own_counts.items()}
-        good = spark.sparkContext.broadcast({(r["item"], r["code"]) for r in counted if r["count"] <= max(limit, middle[r["item"]])})
-
-        def score(batches, shared=shared, good=good):
-            own, seeds = shared.value, good.value
-            for b in batches:
-                found = []
-                for key, item_id, item, first, codes, words in zip(*(b.column(k).to_pylist() for k in range(6))):
-                    if any((item, c) in seeds for c in codes):
-                        if copy := is_copy(own.rows[item], np.array(words, np.int64), least, run, identity):
-                            found.append((key, item_id, copy[0], copy[1], first + copy[2], first + copy[3]))
+                    for item, first, copy in own.copies(text, slack, least, run, identity):
+                        found.append((key, own.ids[item], copy[0], copy[1], first + copy[2], first + copy[3]))
                 if found:
                     yield dict(zip((id_col, item_col, "share", "matches", "first_word", "last_word"), zip(*found)))
 
-        copies = map_batches(windows, score, f"{kinds}, share double, matches long, first_word long, last_word long")
+        copies = map_batches(docs.select(id_col, text_col), scan, f"{kinds}, share double, matches long, first_word long, last_word long")
         out = copies if out is None else out.unionByName(copies)
     best = F.max(F.struct("share", "matches", (-F.col("first_word")).alias("early"), "last_word"))
     return out.groupBy(id_col, item_col).agg(best.alias("best")).select(

@@ -261,6 +261,16 @@ def test_decontamination(spark):
     assert decontamination.find_copies(df.where("false"), bench).count() == 0 and decontamination.find_copies(df, bench.where("false")).count() == 0
 
 
+def test_decontamination_of_a_part_that_leaked_widely(spark):
+    rng = random.Random(9)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    item = words(60)
+    docs = [words(40) + (item if k < 3 else item[:25] if k < 33 else []) + words(40) for k in range(99)]
+    df = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    found = decontamination.find_copies(df, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["matches"], r["first_word"]) for r in found} == {k: (60 if k < 3 else 25, 40) for k in range(33)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
