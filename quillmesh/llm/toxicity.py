@@ -6,8 +6,8 @@ a class has seen rarely falls back on what all text has. The log-likelihoods of
 time) under the two models are compared, and a logistic curve over the length-normalised difference of the text and of
 its most telling words turns them into a score.
 
-Counts come from all labelled training rows and are summed by Spark. The tables that are broadcast have a fixed number
-of hashed cells, whatever the corpus. The logistic curve is fitted on at most `calibration` labelled rows, which are
+Counts come from all labelled training rows and are summed by Spark. Every distinct n-gram has its own counts, so the
+tables that come to the driver and are broadcast grow with the distinct n-grams of the labelled rows. The logistic curve is fitted on at most `calibration` labelled rows, which are
 scored by a model of the other half of the rows.
 """
 
@@ -20,70 +20,111 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, mix64, normal_word, stored, texts_of
+from quillmesh.llm.common import map_batches, normal_word, texts_of
 
-#: Characters in the longest n-gram, bits of a character, log2 of the cells of a table, and the discount.
-ORDER, BITS, CELLS, DISCOUNT = 5, 12, 19, 0.75
+#: Characters in the longest n-gram, bits of a character (any code point, above the two marks), and the discount.
+ORDER, BITS, DISCOUNT = 5, 21, 0.75
 FRONT, BACK = 1, 2
 KEPT = 150_000
 CLASSES = (0, 1)
 FEATURES = ("per_char", "top", "top3", "share")
 
 
-def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(code of the n-gram that ends at each character or word end, its word's index). A code packs ORDER characters
-    of BITS bits; characters beyond the range share cells."""
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(high, low, the word's index) of the n-gram that ends at each character or word end. low packs its last three
+    characters of BITS bits, high the two before them."""
     joined = "\x03".join(words) + "\x03"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(codes < 2048, codes, 2048 + codes % 2047)
-    ends = codes == 3
-    word = np.cumsum(ends) - ends
-    first = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-    at = np.arange(len(codes)) - first[word]
-    codes = np.where(ends, BACK, codes)
-    gram = codes.copy()
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + BACK + 1
+    sizes = np.array([len(w) + 1 for w in words])
+    ends = np.cumsum(sizes) - 1
+    codes[ends] = BACK
+    word = np.repeat(np.arange(len(words)), sizes)
+    at = np.arange(len(codes)) - (ends - sizes + 1)[word]
+    parts = [codes]
     for k in range(1, ORDER):
-        before = np.concatenate([np.full(k, FRONT), codes[:-k]])
-        gram |= np.where(at >= k, before, FRONT) << (BITS * k)
-    return gram, word
+        before = np.concatenate([np.full(k, FRONT), codes[:-k]])[: len(codes)]
+        parts.append(np.where(at >= k, before, FRONT))
+    return parts[3] | parts[4] << BITS, parts[0] | parts[1] << BITS | parts[2] << (2 * BITS), word
 
 
-def cell(gram: np.ndarray, order: int) -> np.ndarray:
-    """The table cell of a code of that many characters."""
-    return (mix64(gram.astype(np.uint64) + np.uint64(order * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(64 - CELLS)).astype(np.int64)
+def last(high: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The last k characters of n-grams."""
+    return high & ((1 << (BITS * max(k - 3, 0))) - 1), low & ((1 << (BITS * min(k, 3))) - 1)
+
+
+def context(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams without their last character."""
+    return high >> BITS, low >> BITS | (high & ((1 << BITS) - 1)) << (2 * BITS)
+
+
+class Grams:
+    """Distinct n-grams in order. A key is the rank of high and that of low, so no two n-grams share one."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray):
+        self.high, self.low, self.keys = np.unique(high), np.unique(low), None
+        self.keys = np.unique(self._keys(high, low)[0])
+
+    def _keys(self, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = np.minimum(np.searchsorted(self.high, high), len(self.high) - 1)
+        w = np.minimum(np.searchsorted(self.low, low), len(self.low) - 1)
+        return h * len(self.low) + w, (self.high[h] == high) & (self.low[w] == low)
+
+    def find(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """The place of each n-gram; the number of places for one that isn't here."""
+        if not len(self.keys):
+            return np.zeros(len(high), np.int64)
+        keys, known = self._keys(high, low)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(known & (self.keys[at] == keys), at, len(self.keys))
+
+    def codes(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.high[self.keys // max(len(self.low), 1)], self.low[self.keys % max(len(self.low), 1)]
+
+
+def compact(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the narrowest type that holds them, and a 0 for what isn't found."""
+    values = np.append(values, 0).astype(np.int64)
+    return values.astype(np.min_scalar_type(int(values.max())))
+
+
+def with_contexts(grams: Grams, counts: list[np.ndarray]) -> tuple[Grams, list, Grams, list, list]:
+    """grams and their counts; their contexts with the sums and the numbers of kinds of each of the counts."""
+    above = context(*grams.codes())
+    contexts = Grams(*above)
+    at = contexts.find(*above)
+    sums = [compact(np.bincount(at, n, len(contexts.keys))) for n in counts]
+    return grams, [compact(n) for n in counts], contexts, sums, [compact(np.bincount(at, n > 0, len(contexts.keys))) for n in counts]
 
 
 @dataclass
 class CharModel:
-    """count[c], context[c], types[c]: top order of class c; shared[k]: (continuations, context sums, context types)."""
+    """top: with_contexts() of the longest n-grams, by class; shared[k]: that of k characters, by continuations."""
 
-    count: list
-    context: list
-    types: list
+    top: tuple
     shared: dict
     kept: dict = field(default_factory=dict)
 
-    def gram_ratio(self, gram: np.ndarray) -> np.ndarray:
+    def gram_ratio(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
         """log p(last character | toxic) - log p(last character | ordinary)."""
-        total = max(float(self.shared[1][0].sum()), 1.0)
-        p = (self.shared[1][0][cell(gram & ((1 << BITS) - 1), 1)] + 0.5) / (total + 2048)
+        grams, (seen,), *_ = self.shared[1]
+        p = (seen[grams.find(*last(high, low, 1))] + 0.5) / (max(float(seen.sum(dtype=float)), 1.0) + len(seen) / 2)
         for k in range(2, ORDER):
-            part = gram & ((1 << (BITS * k)) - 1)
-            seen, context, types = self.shared[k]
-            h = cell(part >> BITS, k)
-            n = np.maximum(context[h], 1e-9)
-            p = np.where(context[h] > 0, (np.maximum(seen[cell(part, k)] - DISCOUNT, 0) + DISCOUNT * types[h] * p) / n, p)
-        at, h = cell(gram, ORDER), cell(gram >> BITS, ORDER)
-        q = []
-        for c in CLASSES:
-            n = np.maximum(self.context[c][h], 1e-9)
-            q.append(np.where(self.context[c][h] > 0, (np.maximum(self.count[c][at] - DISCOUNT, 0) + DISCOUNT * self.types[c][h] * p) / n, p))
+            p = self._probability(self.shared[k], 0, last(high, low, k), p)
+        q = [self._probability(self.top, c, (high, low), p) for c in CLASSES]
         return np.log(np.maximum(q[1], 1e-12)) - np.log(np.maximum(q[0], 1e-12))
 
+    @staticmethod
+    def _probability(tables: tuple, c: int, gram: tuple[np.ndarray, np.ndarray], p: np.ndarray) -> np.ndarray:
+        grams, counts, contexts, sums, types = tables
+        at, h = grams.find(*gram), contexts.find(*context(*gram))
+        n = sums[c][h].astype(float)
+        return np.where(n > 0, (np.maximum(counts[c][at] - DISCOUNT, 0) + DISCOUNT * types[c][h] * p) / np.maximum(n, 1), p)
+
     def add_words(self, tokens: list[str]) -> None:
         words = [normal_word(t) for t in tokens]
-        gram, word = grams_of(words)
-        ratio = np.bincount(word, self.gram_ratio(gram), minlength=len(words))
+        high, low, word = grams_of(words)
+        own = Grams(high, low)
+        ratio = np.bincount(word, self.gram_ratio(*own.codes())[own.find(high, low)], minlength=len(words))
         for t, w, r in zip(tokens, words, ratio.tolist()):
             self.kept[t] = (r, len(w)) if w else (0.0, 0)
 
@@ -119,8 +160,8 @@ def _second_half(id_col: str) -> Column:
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """rows (toxic, half, text) to (gram, n00, n01, n10, n11): counts by class, then half. Summed within each batch
-    first, so a gram crosses the network once for each batch at most."""
+    """rows (toxic, half, text) to (high, low, n00, n01, n10, n11): counts by class, then half. Summed within each
+    batch first, so a gram crosses the network once for each batch at most."""
 
     def run(batches):
         for b in batches:
@@ -136,61 +177,41 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                         words[normal_word(t)] += n
                     words.pop("", None)
                     if words:
-                        gram, word = grams_of(list(words))
-                        unique, at = np.unique(gram, return_inverse=True)
-                        parts.append((c * 2 + h, unique, np.bincount(at, np.array(list(words.values()), float)[word])))
+                        high, low, word = grams_of(list(words))
+                        own = Grams(high, low)
+                        n = np.bincount(own.find(high, low), np.array(list(words.values()), float)[word])
+                        parts.append((c * 2 + h, *own.codes(), n))
             if parts:
-                unique, at = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-                table, start = np.zeros((4, len(unique)), np.int64), 0
-                for k, grams, n in parts:
-                    table[k, at[start : start + len(grams)]] = n
-                    start += len(grams)
-                yield {"gram": unique, "n00": table[0], "n01": table[1], "n10": table[2], "n11": table[3]}
+                grams = Grams(np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]))
+                table = np.zeros((4, len(grams.keys)), np.int64)
+                for k, high, low, n in parts:
+                    table[k, grams.find(high, low)] = n
+                high, low = grams.codes()
+                yield {"high": high, "low": low, "n00": table[0], "n01": table[1], "n10": table[2], "n11": table[3]}
 
     names = ["n00", "n01", "n10", "n11"]
-    found = map_batches(rows, run, "gram long, " + ", ".join(f"{n} long" for n in names))
-    return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
-
-
-def _cells(table: DataFrame, order: int, columns: dict[str, str]) -> DataFrame:
-    """(name, cell, value) sums of a table (gram, counts...): for each column its count, context and type tables."""
-
-    def run(batches):
-        for b in batches:
-            gram = b.column(0).to_numpy()
-            for number, at in ((0, cell(gram, order)), (1, cell(gram >> BITS, order))):
-                unique, back = np.unique(at, return_inverse=True)
-                for k, name in enumerate(columns.values()):
-                    n = b.column(1 + k).to_numpy().astype(float)
-                    kinds = [("n", n)] if number == 0 else [("x", n), ("t", (n > 0).astype(float))]
-                    for kind, values in kinds:
-                        yield {"name": [f"{name}{kind}"] * len(unique), "cell": unique, "value": np.bincount(back, values)}
-
-    return map_batches(table.select("gram", *columns), run, "name string, cell int, value double")
+    found = map_batches(rows, run, "high long, low long, " + ", ".join(f"{n} long" for n in names))
+    return found.groupBy("high", "low").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def train(rows: DataFrame) -> tuple[CharModel, CharModel] | None:
-    """Models of the first half and of all rows (toxic, half, text); None unless both classes are there. At most
-    24 tables of 2^CELLS cells come to the driver."""
-    top = stored(gram_counts(rows), "toxicity-grams")
-    top = top.withColumns({"a0": F.col("n00").cast("double"), "a1": F.col("n10").cast("double"), "b0": (F.col("n00") + F.col("n01")).cast("double"), "b1": (F.col("n10") + F.col("n11")).cast("double")})
-    cells, lower = _cells(top, ORDER, {c: c for c in ("a0", "a1", "b0", "b1")}), top
-    for k in range(ORDER - 1, 0, -1):
-        lower = lower.groupBy(F.col("gram").bitwiseAND((1 << (BITS * k)) - 1).alias("gram")).agg(F.count("*").cast("double").alias("n"))
-        cells = cells.unionByName(_cells(lower, k, {"n": f"s{k}"}))
-    found = cells.groupBy("name", "cell").agg(F.sum("value").cast("float").alias("value")).where("value > 0").toArrow()
-    name, at, value = (found.column(k).combine_chunks() for k in range(3))
-    name, at, value = name.to_numpy(zero_copy_only=False), at.to_numpy(), value.to_numpy()
-    tables = {}
-    for n in set(name):
-        tables[n] = np.zeros(1 << CELLS, np.float32)
-        tables[n][at[name == n]] = value[name == n]
-    get = lambda n: tables.get(n, np.zeros(1 << CELLS, np.float32))
-    if "b0n" not in tables or "b1n" not in tables:
+    """Models of the first half and of all rows (toxic, half, text); None unless both classes are there. The distinct
+    n-grams come to the driver, in some 48 bytes each."""
+    found = gram_counts(rows).toArrow()
+    high, low, *counts = (found.column(k).to_numpy() for k in range(6))
+    if not len(high):
         return None
-    shared = {k: (get(f"s{k}n"), get(f"s{k}x"), get(f"s{k}t")) for k in range(1, ORDER)}
-    half, full = (CharModel([get(f"{m}{c}n") for c in CLASSES], [get(f"{m}{c}x") for c in CLASSES], [get(f"{m}{c}t") for c in CLASSES], shared) for m in "ab")
-    return half, full
+    top = Grams(high, low)
+    order = np.argsort(top.find(high, low))
+    n00, n01, n10, n11 = (n[order] for n in counts)
+    if not (n00 + n01).any() or not (n10 + n11).any():
+        return None
+    shared, grams = {}, top
+    for k in range(ORDER - 1, 0, -1):
+        ends = last(*grams.codes(), k)
+        grams = Grams(*ends)
+        shared[k] = with_contexts(grams, [np.bincount(grams.find(*ends))])
+    return CharModel(with_contexts(top, [n00, n10]), shared), CharModel(with_contexts(top, [n00 + n01, n10 + n11]), shared)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:

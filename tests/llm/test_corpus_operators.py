@@ -135,6 +135,22 @@ def test_toxicity_learns_stems_and_edges(spark):
     assert toxicity.score_toxicity(df.where("false"), lab).count() == 0
 
 
+def test_toxicity_keeps_ngrams_apart(spark):
+    rng = random.Random(3)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    calm = [" ".join(word("abcdefghijklmnopqrstuvwxyz", 12) for _ in range(2000)) for _ in range(15)]
+    bad = "\u4e10\u4e21\u4e32\u4e43"
+    rows = [(0, k % 2, t) for k, t in enumerate(calm)] + [(1, k % 2, f"{bad} {t[:200]}") for k, t in enumerate(calm)]
+    model = toxicity.train(spark.createDataFrame(rows, "toxic int, half int, text string"))[1]
+    shifted = "".join(chr(ord(c) + 2047) for c in bad)
+    unseen = [shifted, *(word("абвгдежзик", 4) for _ in range(200))]
+    model.add_words([bad, *unseen])
+    ratios = {round(model.kept[w][0], 9) for w in unseen}
+    assert len(ratios) == 1 and model.kept[bad][0] > ratios.pop() + 3
+    model.add_words(["z"])
+    assert model.kept["z"][1] == 1
+
+
 def brute_components(texts, percent=80):
     sets = {}
     for k, t in texts:
