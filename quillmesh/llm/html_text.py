@@ -32,14 +32,36 @@ NAMED = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+#: In a tag: the quote that opens a value, or the end.
+_MARK = re.compile(r"""=\s*(["'])|>""")
 _END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
 
 
+def _tag_end(page: str, at: int, known: dict[int, int]) -> int:
+    """Where a tag ends whose attributes begin there: a > in a quoted value doesn't end it. -1 if a value is never
+    closed. known keeps the answers by the places of the quotes, so all tags of a page take linear time."""
+    passed, end = [], -1
+    while m := _MARK.search(page, at):
+        if m[0] == ">":
+            end = m.start()
+            break
+        if m.start() in known:
+            end = known[m.start()]
+            break
+        passed.append(m.start())
+        close = page.find(m[1], m.end())
+        if close < 0:
+            break
+        at = close + 1
+    known.update(dict.fromkeys(passed, end))
+    return end
+
+
 def tokens_of(page: str) -> list[tuple[str, str, str]]:
     """(kind, name, rest): kind is open, close or text; rest is the attributes or the text as it stands. Comments,
     declarations and raw elements are left out. Linear in the page's length."""
-    out, at, last = [], 0, page.rfind(">")
+    out, at, last, known = [], 0, page.rfind(">"), {}
     while at < len(page):
         start = page.find("<", at)
         if start < 0 or start > last:
@@ -53,15 +75,9 @@ def tokens_of(page: str) -> list[tuple[str, str, str]]:
         elif page[start + 1 : start + 2] in ("!", "?"):
             at = page.find(">", start) + 1
         elif m := _TAG.match(page, start):
-            end = page.find(">", m.end())
-            for _ in range(4):  # a > inside quotes doesn't end the tag
-                part = page[m.end() : end]
-                mark = next((q for q in "\"'" if part.count(q) % 2), None)
-                close = page.find(mark, end) if mark else -1
-                further = page.find(">", close) if close >= 0 else -1
-                if further < 0 or close - start > 4096:
-                    break
-                end = further
+            end = _tag_end(page, m.end(), known)
+            if end < 0:
+                end = page.find(">", m.end())
             name, at = m[2].lower(), end + 1
             out.append(("close" if m[1] else "open", name, page[m.end() : end]))
             if name in RAW and not m[1] and not page[end - 1 : end] == "/":
@@ -97,14 +113,18 @@ def marked(tokens: list[tuple[str, str, str]], match: dict[int, int]) -> list[st
     """The class of each token: word, link (words in a link), dead (words in a block that is no content) or the tag."""
     stop = ("article", "main", "section", "footer", "h1", "h2", "h3", "p")
     out, dead, link, article = [], -1, -1, -1
+    again, after = len(tokens), []  # where content may begin again after each token
+    for kind, name, _ in reversed(tokens):
+        after.append(again)
+        if kind == "open" and name in stop:
+            again = len(tokens) - len(after)
+    after.reverse()
     for k, (kind, name, rest) in enumerate(tokens):
         if kind == "open":
             if name == "article":
                 article = max(article, match.get(k, -1))
-            if k > dead and is_boilerplate(name, rest, k < article):
-                dead = match.get(k, -1)
-                if dead < 0:  # never closed: it ends where content may begin again
-                    dead = next((j for j in range(k + 1, min(len(tokens), k + 400)) if tokens[j][0] == "open" and tokens[j][1] in stop), len(tokens))
+            if k >= dead and is_boilerplate(name, rest, k < article):
+                dead = match.get(k, after[k])  # never closed: it ends where content may begin again
             if name == "a":
                 link = max(link, match.get(k, -1))
         out.append(("dead" if k < dead else "link" if k < link else "word") if kind == "text" else name)

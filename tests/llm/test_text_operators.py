@@ -202,3 +202,17 @@ def test_count_edges(spark, sp):
         n = len(sp.encode(t))
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(t.encode()), n, n > 4096)
     assert token_counts.count_tokens(frame(spark, EDGE).where("false"), P.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_html_long_menus_and_attributes():
+    weights = html_text.train_weights(html_text.LABELLED)
+    prose = " ".join(html_text._PROSE)
+    menu = "<li><a href='/x'>Entry</a></li>" * 300
+    assert html_text.extract(f"<body><nav><ul>{menu}</ul><p>{prose}</p><p>{prose}</p></body>", weights) == f"{prose} {prose}"
+    assert html_text.extract(f"<body><nav><ul>{menu}</ul><footer>{prose}</footer></body>", weights) == ""
+    for value in ("a > b " * 2000, "x" * 5000 + ">" + "y" * 5000):
+        assert html_text.extract(f'<body><div title="{value}"><p>{prose}</p></div></body>', weights) == prose
+    many = " ".join(f'data-{k}="{k} > 1"' for k in range(9))
+    assert html_text.extract(f"<body><div {many}><p>{prose}</p></div></body>", weights) == prose
+    assert html_text.extract(f'<body><p class="open>{prose}</p></body>', weights) == prose
+    assert len(html_text.tokens_of('<a =">" ' * 50_000)) > 50_000
