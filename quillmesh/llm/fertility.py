@@ -40,7 +40,7 @@ BLOCKS = [
     (0x3040, "cjk"), (0xA000, "other"), (0xAC00, "cjk"), (0xD7B0, "other"), (0xF900, "cjk"), (0xFB00, "other"), (0x20000, "cjk"), (0x30000, "other"),
 ]
 SCRIPTS = ["latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "thai", "cjk", "other"]
-#: Rejection bands by script; texts of few tokens are judged by the base rules alone.
+#: Rejection bands by script. They hold for texts of every length; below FEW_TOKENS they are wider by the sampling error.
 BANDS = {
     "latin": Band(2.0, 9.0, 0.25), "greek": Band(0.6, 6.0, 0.6), "cyrillic": Band(0.6, 6.0, 0.6), "hebrew": Band(0.5, 5.0, 0.8),
     "arabic": Band(0.5, 5.0, 0.8), "indic": Band(0.3, 5.0, 0.95), "thai": Band(0.3, 5.0, 0.95), "cjk": Band(0.3, 3.5, 0.95), "other": Band(0.25, 12.0, 0.98),
@@ -52,6 +52,16 @@ _SCRIPT = np.array([SCRIPTS.index(s) for _, s in BLOCKS])
 _BREAKS = str.maketrans("", "", ASCII_SPACE)
 
 
+def in_band(band: Band, size: int, per: float, share: float, entropy: float) -> bool:
+    """The verdict on a text of size tokens; one standard error is allowed to one of few tokens (of a token's
+    characters, the error is taken to be their mean)."""
+    if not size:
+        return False
+    error = size**-0.5 if size < FEW_TOKENS else 0.0
+    fragments = band.byte_share + error * (band.byte_share * (1 - band.byte_share)) ** 0.5
+    return band.low * (1 - error) <= per <= band.high * (1 + error) and share <= fragments and entropy >= min(band.entropy, band.entropy_share * log2(size))
+
+
 def script_of(text: str) -> str:
     """The script of most letters beyond ASCII if these outnumber the ASCII letters, else Latin."""
     if text.isascii():
@@ -122,9 +132,7 @@ def quality(
                 script = script_of(text)
                 band = bands.get(lang) or bands.get(script) or BANDS["other"]
                 per = len(text) / size if size else 0.0
-                good = size < FEW_TOKENS or (
-                    band.low <= per <= band.high and share <= band.byte_share and entropy >= min(band.entropy, band.entropy_share * log2(size))
-                )
+                good = in_band(band, size, per, share, entropy)
                 rows.append((n, chars, symbols, dups, repeats, failed, size, per, share, entropy, script, not failed and good))
             names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed n_tokens chars_per_token byte_share entropy script kept".split()
             yield {id_col: b.column(0)} | dict(zip(names, zip(*rows) if rows else [[]] * len(names)))

@@ -216,3 +216,12 @@ def test_html_long_menus_and_attributes():
     assert html_text.extract(f"<body><div {many}><p>{prose}</p></div></body>", weights) == prose
     assert html_text.extract(f'<body><p class="open>{prose}</p></body>', weights) == prose
     assert len(html_text.tokens_of('<a =">" ' * 50_000)) > 50_000
+
+
+def test_bands_judge_short_texts(spark):
+    rng = random.Random(2)
+    junk = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(5, 9))) for _ in range(11)) for letters in ("#*$%&|<>qzx", "qwrtpsdfghjklzxcvbnm", "Ã©¨â€™¼¶")]
+    good = ["The river had risen over night and the lower fields were under water.", "Por la tarde llegaron los primeros barcos de la ciudad y la gente los esperaba."]
+    rows = fertility.quality(frame(spark, [*good, *junk]), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).where("doc_id is not null").collect()
+    assert {r["n_tokens"] < 128 or r["doc_id"] == 4 for r in rows} == {True} and not any(r["base_failed"] for r in rows)
+    assert {r["doc_id"]: r["kept"] for r in rows} == {0: True, 1: True, 2: False, 3: False, 4: False}
