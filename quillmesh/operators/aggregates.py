@@ -2,48 +2,61 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.config import DEFAULT
+from quillmesh.sources.tables import saved
 
 LOW, HIGH = DEFAULT.band
 
 
-def values_of(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, vals): an ascending array of (v, n), a distinct value and its count, so that it stays short."""
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    return counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("vals"))
-
-
-def count_of(vals: Column | str) -> Column:
-    return F.aggregate(vals, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+def counted_values(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, v, n): each distinct value of a group and its count."""
+    return rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
 
 
-def nth(vals: Column | str, k: Column) -> Column:
-    """The value at place k (from 0) of the array in which each value stands as often as it counts."""
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
-    found = F.aggregate(vals, start, lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.when((s["seen"] <= k) & (s["seen"] + x["n"] > k), x["v"]).otherwise(s["v"]).alias("v")))
-    return found["v"]
+def running(rows: DataFrame, keys: list[str], order: list[str], n: str = "n") -> DataFrame:
+    """rows with `before`, the sum of n over the rows of the same keys that come earlier, and `total`, that over all of
+    them. Rows are dealt by ranges of keys and order, so a group that holds most of the rows is many tasks' work: each
+    adds up its own part, and the sums of the parts (one row a part and group) give the parts' offsets."""
+    dealt = rows.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+    earlier = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = saved(dealt.withColumn("_inner", F.coalesce(F.sum(n).over(earlier), F.lit(0))))
+    group = Window.partitionBy(*keys)
+    sums = inner.groupBy("_part", *keys).agg(F.sum(n).alias("_sum")).withColumns({
+        "_offset": F.coalesce(F.sum("_sum").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "total": F.sum("_sum").over(group),
+    })
+    sums = sums.select("_offset", "total", *[F.col(c).alias(f"_of_{c}") for c in ("_part", *keys)])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ("_part", *keys)])
+    return inner.join(sums, same).select(*rows.columns, (F.col("_inner") + F.col("_offset")).alias("before"), "total")
 
 
-def upper_median(vals: Column | str) -> Column:
-    return nth(vals, F.floor(count_of(vals) / 2))
-
-
-def band_of(vals: Column | str) -> Column:
-    """The largest group of values within 15 % of one of them; of equal groups the first anchor's."""
-    groups = F.transform(vals, lambda a: F.filter(vals, lambda x: (x["v"] >= a["v"] * LOW) & (x["v"] <= a["v"] * HIGH)))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("array<struct<v:double,n:bigint>>").alias("g"))
-    best = F.aggregate(groups, start, lambda s, g: F.when(count_of(g) > s["n"], F.struct(count_of(g).alias("n"), g.alias("g"))).otherwise(s))
-    return best["g"]
+def at_place(k: Column) -> Column:
+    """Aggregate of running(): the value at place k (from 0) of the row in which each value stands as often as it counts."""
+    return F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("v")))
 
 
 def dominant_groups(rows: DataFrame, keys: list[str], value: str, share: float = DEFAULT.dominance_numeric) -> DataFrame:
-    """(keys, n, group_size, dominant, kernel, n_distinct): dominant is the upper median of the largest band if it has
-    that share of the values, else null; kernel is it regardless."""
-    found = values_of(rows, keys, value).withColumn("g", F.coalesce(band_of("vals"), F.array().cast("array<struct<v:double,n:bigint>>")))
-    sized = found.select(*keys, count_of("vals").alias("n"), count_of("g").alias("group_size"), upper_median("g").alias("kernel"), F.size("vals").cast("long").alias("n_distinct"))
+    """(keys, n, group_size, dominant, kernel, n_distinct): the band is the largest group of values within 15 % of one
+    of them, of equal ones the smallest anchor's; dominant is its upper median if it has that share of the values, else
+    null; kernel is it regardless. Each value asks for the counts below both ends of its band, so one running sum over
+    values and ends answers all of them: no pair of values is made and no group is one row."""
+    v = counted_values(rows, keys, value)
+    ask = lambda kind, x, n: F.struct(F.lit(kind).alias("kind"), x.alias("x"), n.cast("long").alias("n"))
+    own = F.col("v")
+    rows3 = v.select(*keys, "v", F.explode(F.array(ask(0, own * LOW, F.lit(0)), ask(1, own, F.col("n")), ask(2, own * HIGH, F.lit(0)))).alias("e")).select(*keys, "v", "e.*")
+    summed = running(rows3, keys, ["x", "kind", "v"])
+    below = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("before")))
+    anchors = summed.where("kind <> 1").groupBy(*keys, "v").agg(below(0).alias("low"), F.greatest(below(2) - below(0), F.lit(0)).alias("size"), F.max("total").alias("n"))
+    best = anchors.groupBy(*keys).agg(F.max(F.struct("size", (-F.col("v")).alias("first"), "low")).alias("b"), F.max("n").alias("n"), F.count("*").alias("n_distinct"))
+    best = best.select(*keys, "n", "n_distinct", F.col("b.size").alias("group_size"), (F.col("b.low") + F.floor(F.col("b.size") / 2)).alias("place"))
+    values = summed.where("kind = 1").select(*[F.col(k).alias(f"_of_{k}") for k in keys], "v", "before", F.col("n").alias("_n"))
+    there = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    there = there & (F.col("before") <= F.col("place")) & (F.col("place") < F.col("before") + F.col("_n")) & (F.col("group_size") > 0)
+    sized = best.join(values, there, "left").select(*keys, "n", "group_size", F.col("v").alias("kernel"), "n_distinct")
     return sized.withColumn("dominant", F.when(F.col("group_size") / F.col("n") >= share, F.col("kernel")))
 
 
@@ -64,10 +77,9 @@ def without_outliers(rows: DataFrame, cluster: str, attr: str, value: str, sizes
 
 def index_quartiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """(keys, n, q1, median, q3) by index n/4, n/2, 3n/4 of the ascending values."""
-    v = values_of(rows, keys, value)
-    at = lambda f: nth("vals", F.floor(f))
-    n = count_of("vals")
-    return v.select(*keys, n.alias("n"), at(n / 4).alias("q1"), at(n / 2).alias("median"), at(n * 3 / 4).alias("q3"))
+    found = running(counted_values(rows, keys, value), keys, ["v"])
+    at = lambda f: at_place(F.floor(F.col("total") * f / 4))
+    return found.groupBy(*keys).agg(F.max("total").alias("n"), at(1).alias("q1"), at(2).alias("median"), at(3).alias("q3"))
 
 
 def leave_one_out_medians(rows: DataFrame, cluster: str, attr: str, value: str, member: str = "pk_id") -> DataFrame:
@@ -91,8 +103,10 @@ def capped_members(rows: DataFrame, cluster: str, most: int, member: str = "pk_i
 
 def capped_medians(rows: DataFrame, cluster: str, attr: str, value: str, most: int = 20) -> DataFrame:
     """(cluster, attr, median) of the first members, where two or more have a value."""
-    v = values_of(capped_members(rows, cluster, most), [cluster, attr], value)
-    return v.where(count_of("vals") >= 2).select(cluster, attr, upper_median("vals").alias("median"))
+    first = capped_members(rows, cluster, most).where(F.col(value).isNotNull())
+    w = Window.partitionBy(cluster, attr)
+    placed = first.withColumns({"_i": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count("*").over(w)})
+    return placed.where((F.col("_n") >= 2) & (F.col("_i") == F.floor(F.col("_n") / 2))).select(cluster, attr, F.col(value).cast("double").alias("median"))
 
 
 def value_shares(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -25,6 +25,31 @@ def test_dominant_group(spark, values, group, dominant):
     assert (r["group_size"], r["dominant"]) == (group, dominant)
 
 
+def test_bands_and_quartiles_by_brute_force(spark):
+    rng = random.Random(2)
+    groups = {k: [rng.choice([-3.0, 0.0, 1.0, 10.0]) * round(rng.uniform(0.5, 2.0), 1) for _ in range(rng.randrange(1, 40))] for k in [None, *range(12)]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [(99, None)], "k int, v double").repartition(3)
+    bands = {r["k"]: r for r in aggregates.dominant_groups(df, ["k"], "v").collect()}
+    quartiles = {r["k"]: r for r in aggregates.index_quartiles(df, ["k"], "v").collect()}
+    assert bands.keys() == quartiles.keys() == groups.keys()
+    for k, values in groups.items():
+        s = sorted(values)
+        near = [[x for x in s if a * 0.85 <= x <= a * 1.15] for a in sorted(set(s))]
+        best = max(near, key=len)  # the first of equals
+        kernel = best[len(best) // 2] if best else None
+        assert (bands[k]["n"], bands[k]["n_distinct"], bands[k]["group_size"], bands[k]["kernel"]) == (len(s), len(set(s)), len(best), kernel)
+        assert bands[k]["dominant"] == (kernel if len(best) / len(s) >= 0.4 else None)
+        assert tuple(quartiles[k])[1:] == (len(s), s[len(s) // 4], s[len(s) // 2], s[len(s) * 3 // 4])
+
+
+def test_a_group_of_many_values(spark):
+    df = spark.range(100_000).select(F.lit(1).alias("k"), (F.col("id") * 7919 % 100_003 + 1).cast("double").alias("v"))
+    values = sorted(k * 7919 % 100_003 + 1.0 for k in range(100_000))
+    assert tuple(aggregates.index_quartiles(df, ["k"], "v").first()) == (1, 100_000, values[25_000], values[50_000], values[75_000])
+    found = aggregates.dominant_groups(df, ["k"], "v").first()
+    assert found["n_distinct"] == 100_000 and 25_000 < found["group_size"] < 27_000
+
+
 @pytest.mark.parametrize("price,want", [(100, (3, 0, 3.333, 1)), (15, (0, 0, 0.5, 0)), (30, (1, 0, 1.0, 0)), (50, (2, 0, 1.667, 0)), (0, (1, 0, 1.0, 0))])
 def test_price_tiers(spark, price, want):
     rows = [(k, 1, 1, float(p)) for k, p in enumerate([10, 20, 30, 40])]
