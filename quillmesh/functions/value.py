@@ -9,42 +9,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Dimension, factor to its base unit, and the spellings of the unit.
-UNIT_TABLE = """
-m 0.001 мм mm
-m 0.01 см cm
-m 0.1 дм
-m 1 м m метр метров метра
-m 1000 км
-w 1 вт w ватт
-w 1000 квт kw
-w 1000000 мвт mw
-g 0.001 мг
-g 1 г g грамм
-g 1000 кг kg
-g 1000000 т
-l 0.001 мл ml
-l 1 л l литр
-l 1000 м3
-v 1 в v вольт
-v 1000 кв kv
-a 1 а a ампер
-a 0.001 ма
-pa 1 па pa
-pa 1000 кпа
-pa 1000000 мпа mpa
-pa 100000 бар bar
-pa 101325 атм
-s 1 с сек s
-s 60 мин min
-s 3600 ч час h
-pcs 1 шт штук штука штуки штуку штукой pcs pc пр пред предмет предметов предмета
-"""
+# Each spelling of a unit, its dimension and its factor to the base unit.
+UNITS = {
+    "мм": ("m", 0.001), "mm": ("m", 0.001),
+    "см": ("m", 0.01), "cm": ("m", 0.01),
+    "дм": ("m", 0.1),
+    "м": ("m", 1.0), "m": ("m", 1.0), "метр": ("m", 1.0), "метров": ("m", 1.0), "метра": ("m", 1.0),
+    "км": ("m", 1000.0),
+    "вт": ("w", 1.0), "w": ("w", 1.0), "ватт": ("w", 1.0),
+    "квт": ("w", 1000.0), "kw": ("w", 1000.0),
+    "мвт": ("w", 1000000.0), "mw": ("w", 1000000.0),
+    "мг": ("g", 0.001),
+    "г": ("g", 1.0), "g": ("g", 1.0), "грамм": ("g", 1.0),
+    "кг": ("g", 1000.0), "kg": ("g", 1000.0),
+    "т": ("g", 1000000.0),
+    "мл": ("l", 0.001), "ml": ("l", 0.001),
+    "л": ("l", 1.0), "l": ("l", 1.0), "литр": ("l", 1.0),
+    "м3": ("l", 1000.0),
+    "в": ("v", 1.0), "v": ("v", 1.0), "вольт": ("v", 1.0),
+    "кв": ("v", 1000.0), "kv": ("v", 1000.0),
+    "а": ("a", 1.0), "a": ("a", 1.0), "ампер": ("a", 1.0),
+    "ма": ("a", 0.001),
+    "па": ("pa", 1.0), "pa": ("pa", 1.0),
+    "кпа": ("pa", 1000.0),
+    "мпа": ("pa", 1000000.0), "mpa": ("pa", 1000000.0),
+    "бар": ("pa", 100000.0), "bar": ("pa", 100000.0),
+    "атм": ("pa", 101325.0),
+    "с": ("s", 1.0), "сек": ("s", 1.0), "s": ("s", 1.0),
+    "мин": ("s", 60.0), "min": ("s", 60.0),
+    "ч": ("s", 3600.0), "час": ("s", 3600.0), "h": ("s", 3600.0),
+    "шт": ("pcs", 1.0), "штук": ("pcs", 1.0), "штука": ("pcs", 1.0), "штуки": ("pcs", 1.0), "штуку": ("pcs", 1.0), "штукой": ("pcs", 1.0), "pcs": ("pcs", 1.0), "pc": ("pcs", 1.0), "пр": ("pcs", 1.0), "пред": ("pcs", 1.0), "предмет": ("pcs", 1.0), "предметов": ("pcs", 1.0), "предмета": ("pcs", 1.0),
+}
 # Number words.
-NUMBER_WORDS = "ноль:0 один:1 одна:1 одно:1 два:2 две:2 три:3 четыре:4 пять:5 шесть:6 семь:7 восемь:8 девять:9 десять:10 одиннадцать:11 двенадцать:12 сто:100 тысяча:1000"
-
-UNITS = {u: (row[0], float(row[1])) for row in map(str.split, UNIT_TABLE.split("\n")) if row for u in row[2:]}
-WORDS = {k: float(v) for k, v in (w.split(":") for w in NUMBER_WORDS.split())}
+WORDS = {
+    "ноль": 0.0, "один": 1.0, "одна": 1.0, "одно": 1.0, "два": 2.0, "две": 2.0, "три": 3.0, "четыре": 4.0,
+    "пять": 5.0, "шесть": 6.0, "семь": 7.0, "восемь": 8.0, "девять": 9.0, "десять": 10.0, "одиннадцать": 11.0, "двенадцать": 12.0,
+    "сто": 100.0, "тысяча": 1000.0,
+}
 
 
 def _map(pairs: dict) -> Column:
