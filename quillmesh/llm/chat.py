@@ -4,11 +4,12 @@ A log holds events (conv_id, seq, message, kind, role, text). Folding a message'
 
 * delta: its text is appended to what the message holds (streamed output)
 * edit: its text replaces what the message holds
-* regenerate: what the message holds is thrown away, and so is every later message of the conversation that has no
-  event after it, for these answered the text that is gone
+* regenerate: what the message holds is thrown away, and with it all that later messages of the conversation hold, for
+  these answered the text that is gone; a later message is there again if events after it write it anew
 
-The last edit or regenerate of a message is its base; the message is the base's text (an edit's) and the deltas after
-it. A message without text left stays, empty, unless it was thrown away.
+So an event counts if no earlier message was regenerated after it, the last edit or regenerate that counts is a
+message's base, and the message is the base's text (an edit's) and the deltas after it. A message without text stays,
+empty, if any of its events counts. An event that is delivered twice (equal in all fields) counts once.
 
 Rendering: each message is `<turn ROLE>TEXT</turn>` and a newline. In roles and texts a backslash is written `\\b`, `<`
 as `\\l` and `>` as `\\g`, so a raw `<` is always a control string, and undoing `\\l`, `\\g`, `\\b` in this order restores
@@ -35,28 +36,24 @@ def unescape(text: Column) -> Column:
 
 def fold_messages(events: DataFrame) -> DataFrame:
     """(conv_id, message, role, text): the final messages of each log. Null kinds count as deltas, null texts as empty,
-    a null role as the message's first other role or else ''. Events that share a sequence number are folded in the
-    order of kind, role and text, so repeated rows have a defined result. Null ids form a conversation of their own."""
+    a null role as the message's first other role or else ''. Repeated rows are one event. Different events that share
+    a sequence number come in the order of kind, role and text (so a regeneration is the last of them), those without
+    one first. Null ids form a conversation of their own, null messages its first message."""
     e = events.select(
         "conv_id", "message", "seq", F.coalesce("kind", F.lit("delta")).alias("kind"), "role", F.coalesce("text", F.lit("")).alias("text")
     )
-    base = F.col("kind").isin("edit", "regenerate")
     folded = e.groupBy("conv_id", "message").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("events"),
-        F.max("seq").alias("last_seq"),
+        F.sort_array(F.collect_set(F.struct("seq", "kind", "role", "text"))).alias("events"),
         F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("redone"),
-        F.max(F.when(base, F.struct("seq", "kind", "role", "text"))).alias("base"),
     )
-    kept = F.filter(
-        "events", lambda x: F.col("base").isNull() | (F.struct(x["seq"], x["kind"], x["role"], x["text"]) >= F.col("base"))
-    )
-    parts = F.transform(F.filter(kept, lambda x: x["kind"] != "regenerate"), lambda x: x["text"])
-    roles = F.filter("events", lambda x: x["role"].isNotNull())
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        folded.withColumn("gone", F.coalesce(F.max("redone").over(before) > F.col("last_seq"), F.lit(False)))
-        .where(~F.col("gone"))
-        .select("conv_id", "message", F.coalesce(F.get(roles, F.lit(0))["role"], F.lit("")).alias("role"), F.array_join(parts, "").alias("text"))
+    live = F.filter("events", lambda x: F.col("cut").isNull() | F.coalesce(x["seq"] > F.col("cut"), F.lit(False)))
+    base = F.array_max(F.filter("live", lambda x: x["kind"].isin("edit", "regenerate")))
+    kept = F.filter("live", lambda x: (x["kind"] != "regenerate") & (F.col("base").isNull() | (x >= F.col("base"))))
+    roles = F.filter("live", lambda x: x["role"].isNotNull())
+    counted = folded.withColumn("cut", F.max("redone").over(before)).withColumn("live", live).where(F.size("live") > 0).withColumn("base", base)
+    return counted.select(
+        "conv_id", "message", F.coalesce(F.get(roles, F.lit(0))["role"], F.lit("")).alias("role"), F.array_join(F.transform(kept, lambda x: x["text"]), "").alias("text")
     )
 
 
