@@ -40,12 +40,11 @@ BLOCKS = [
     (0x3040, "cjk"), (0xA000, "other"), (0xAC00, "cjk"), (0xD7B0, "other"), (0xF900, "cjk"), (0xFB00, "other"), (0x20000, "cjk"), (0x30000, "other"),
 ]
 SCRIPTS = ["latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "thai", "cjk", "other"]
-#: Rejection bands by script. They hold for texts of every length; below FEW_TOKENS they are wider by the sampling error.
+#: Rejection bands by script. They hold for texts of every length, and are wider by the sampling error of so many tokens.
 BANDS = {
     "latin": Band(2.0, 9.0, 0.25), "greek": Band(0.6, 6.0, 0.6), "cyrillic": Band(0.6, 6.0, 0.6), "hebrew": Band(0.5, 5.0, 0.8),
     "arabic": Band(0.5, 5.0, 0.8), "indic": Band(0.3, 5.0, 0.95), "thai": Band(0.3, 5.0, 0.95), "cjk": Band(0.3, 3.5, 0.95), "other": Band(0.25, 12.0, 0.98),
 }
-FEW_TOKENS = 128
 
 _STARTS = np.array([b for b, _ in BLOCKS], np.uint32)
 _SCRIPT = np.array([SCRIPTS.index(s) for _, s in BLOCKS])
@@ -53,11 +52,11 @@ _BREAKS = str.maketrans("", "", ASCII_SPACE)
 
 
 def in_band(band: Band, size: int, per: float, share: float, entropy: float) -> bool:
-    """The verdict on a text of size tokens; one standard error is allowed to one of few tokens (of a token's
-    characters, the error is taken to be their mean)."""
+    """The verdict on a text of size tokens; one standard error is allowed (of a token's characters, the error is taken
+    to be their mean), so short texts aren't judged by chance and there is no length from which other rules hold."""
     if not size:
         return False
-    error = size**-0.5 if size < FEW_TOKENS else 0.0
+    error = size**-0.5
     fragments = band.byte_share + error * (band.byte_share * (1 - band.byte_share)) ** 0.5
     return band.low * (1 - error) <= per <= band.high * (1 + error) and share <= fragments and entropy >= min(band.entropy, band.entropy_share * log2(size))
 
