@@ -67,3 +67,9 @@ def normal_word(token: str) -> str:
     """Lower case, without the punctuation around it."""
     word = token.lower()
     return word if word.isalnum() else word.strip("".join(c for c in set(word) if not c.isalnum()))
+
+
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """df with its columns called c0, c1 and so on: operators that carry a caller's columns along work on these, so no
+    name of theirs can clash with one of the caller's, whatever their case."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))

@@ -1,6 +1,6 @@
 """Personal data by weak supervision (operator 3).
 
-Four kinds are defined by rule (email, ip, card, phone) and are always kept. Beyond these, candidates of six further
+Four kinds are defined by rule (email, ip, card, phone) and are always kept. Beyond these, candidates of six
 kinds come from wide patterns: email (written out), phone (without a plus), card (no check sum), secret, iban and name.
 Labelers vote on each candidate: regular expressions for its form, gazetteers of titles, given names and key words, and
 its context. A labeler says yes, no or nothing. Expectation-maximisation over the counts of vote patterns estimates
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, stored, texts_of
+from quillmesh.llm.common import map_batches, numbered_columns, stored, texts_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "iban", "name")
@@ -82,13 +82,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], BASE.index(s[2])))
 
 
-#: Wide patterns of candidates: what a labeler may then speak for or against. All have bounded repeats.
+#: Wide patterns of candidates: what a labeler may then speak for or against. A secret is a whole run of its alphabet,
+#: however long; the others have bounded repeats.
 CANDIDATES = [
     ("email", re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._-]{0,63} ?[\[(]? ?(?:at|AT) ?[\])]? ?[A-Za-z0-9-]{1,63}(?: ?[\[(]? ?(?:dot|DOT) ?[\])]? ?[A-Za-z]{2,24}){1,3}\b")),
     ("phone", re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])")),
-    ("card", re.compile(r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9A-Za-z-])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z_-]{0,64}[0-9])[A-Za-z0-9+/_-]{20,512}={0,2}(?![A-Za-z0-9+/_=-])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
+    ("card", re.compile(r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9A-Za-z-])")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")),
     ("name", re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Señora|Sr|Sra)\.? [A-ZÀ-Þ][a-zß-ÿ'-]{1,40}(?: [A-ZÀ-Þ][a-zß-ÿ'-]{1,40})?")),
 ]
 #: What a candidate of the pattern can't do without; the pattern is only tried where it occurs.
@@ -103,8 +104,15 @@ CUES = {
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
     "name": ("name", "signed", "dear", "from", "contact", "patient"),
 }
-GIVEN = frozenset("james john robert michael william david mary patricia jennifer linda elizabeth anna maria peter paul thomas hans karl jean pierre marie sophie jose juan carmen".split())
+GIVEN = frozenset(
+    "james john robert michael william david mary patricia jennifer linda elizabeth susan sarah karen nancy lisa daniel mark steven andrew george edward brian kevin laura emily emma "
+    "olivia grace alice helen ruth anna maria peter paul thomas martin stefan hans karl heinz klaus jürgen wolfgang dieter uwe ursula monika petra sabine claudia katrin julia lena "
+    "jean pierre michel philippe jacques françois louis claude marie sophie isabelle nathalie camille chloé hélène jose josé juan carlos luis miguel antonio manuel francisco jesús "
+    "pedro pablo carmen pilar lucía rosa elena marta cristina ana giovanni marco luca paolo giulia francesca ivan sergei dmitri olga natalia tatiana piotr jan katarzyna agnieszka "
+    "ahmed mohammed ali fatima omar yusuf wei li ming hiroshi yuki kenji min-jun priya arjun raj".split()
+)
 _WORD = re.compile(r"[^\W\d_]+")
+_DIGIT = re.compile(r"[0-9]")
 
 
 def _iban_ok(text: str) -> bool:
@@ -123,7 +131,8 @@ def _form(kind: str, found: str) -> int:
     if kind == "iban":
         return 1 if _iban_ok(found) else -1
     if kind == "secret":
-        return 1 if re.fullmatch(r"[0-9a-f]{32,128}|[0-9A-F]{32,128}", found) else -1 if found.isdigit() or found.count("-") > 6 else 0
+        path = "/" in found and max(map(len, found.split("/"))) < 20
+        return 1 if re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}", found) else -1 if path or found.isdigit() or found.count("-") > 6 else 0
     return 1 if found.count(" ") == 2 else 0
 
 
@@ -159,6 +168,8 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         if not _HINTS[kind].search(text):
             continue
         for m in pattern.finditer(text):
+            if kind == "secret" and not _DIGIT.search(m[0]):
+                continue
             a, b = m.span()
             k = bisect_left(taken, (a, b))
             if any(x < b and a < y for x, y in taken[max(0, k - 1) : k + 1]):
@@ -207,23 +218,31 @@ def train_classifier(patterns: list[tuple[str, tuple[int, ...], int, int]], trut
     return w
 
 
-def find_personal_data(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, keep..., base, found): base and found (all spans) are arrays of (start, stop, kind) in code points. A null
-    text is empty and has no spans; null ids and repeated rows give a row each; an empty table gives no rows."""
+def find_personal_data(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, base, found): base and found (all spans) are arrays of (start, stop, kind) in code points. A null text is
+    empty and has no spans; null ids and repeated rows give a row each; other columns are dropped; an empty table gives
+    no rows."""
+    found = _spans(docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1")), "c1", threshold)
+    return found.select(F.col("c0").alias(id_col), "base", "found")
+
+
+def _spans(docs: DataFrame, text_col: str, threshold: float = 0.5) -> DataFrame:
+    """docs, whose columns are called c0, c1 and so on, with base and found."""
     span = "struct<start:int,stop:int,kind:string"
-    given = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in (id_col, *keep))
+    names = docs.columns
+    given = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
+    place = names.index(text_col)
 
     def scan(batches):
         for b in batches:
             base, more = [], []
-            for text in texts_of(b.column(b.num_columns - 1)):
+            for text in texts_of(b.column(place)):
                 spans = base_spans(text)
                 base.append([{"start": s, "stop": e, "kind": k} for s, e, k in spans])
                 more.append([{"start": s, "stop": e, "kind": k, "votes": list(v)} for s, e, k, v in candidates(text, spans)])
-            yield {c: b.column(i) for i, c in enumerate((id_col, *keep))} | {"base": base, "more": more}
+            yield {c: b.column(i) for i, c in enumerate(names)} | {"base": base, "more": more}
 
-    rows = docs.select(id_col, *keep, F.col(text_col).alias("_scanned"))
-    scanned = stored(map_batches(rows, scan, f"{given}, base array<{span}>>, more array<{span},votes:array<int>>>"), "pii-spans")
+    scanned = stored(map_batches(docs, scan, f"{given}, base array<{span}>>, more array<{span},votes:array<int>>>"), "pii-spans")
     # a bounded table: kinds x 3^labelers vote patterns x 9 length classes
     found = scanned.select(F.explode("more").alias("m")).groupBy("m.kind", "m.votes", F.least(F.floor((F.col("m.stop") - F.col("m.start")) / 8), F.lit(8)).alias("size")).count()
     patterns = sorted((r["kind"], tuple(r["votes"]), int(r["size"]), int(r["count"])) for r in found.collect())
@@ -249,7 +268,7 @@ def find_personal_data(docs: DataFrame, threshold: float = 0.5, id_col: str = "d
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.transform(F.concat("base", plain), lambda s: F.struct(s["start"], F.array_position(order, s["kind"]).alias("rank"), s["stop"], s["kind"]))
     spans = F.transform(F.array_sort(ranked), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
-    return scanned.select(id_col, *keep, "base", spans.alias("found"))
+    return scanned.select(*names, "base", spans.alias("found"))
 
 
 def digest(spans: str):
@@ -268,24 +287,24 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with its columns, personal data replaced in the text (a null text stays null) and n_chars, if there,
-    counted anew."""
-    others = tuple(c for c in docs.columns if c != id_col)
-    found = find_personal_data(docs, id_col=id_col, text_col=text_col, keep=others)
-    names = docs.columns
-    given = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    """docs with its columns, whatever their names, personal data replaced in the text (a null text stays null) and
+    n_chars, if there, counted anew. Null ids and repeated rows stay."""
+    own = numbered_columns(docs)
+    names, lower = own.columns, [c.lower() for c in docs.columns]
+    text = names[lower.index(text_col.lower())]
+    chars = names[lower.index("n_chars")] if "n_chars" in lower else None
+    given = ", ".join(f"{c} {own.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches):
         for b in batches:
             columns = {c: b.column(i) for i, c in enumerate(names)}
             texts = [
                 t if t is None else redact(t, [(s["start"], s["stop"], s["kind"]) for s in spans])
-                for t, spans in zip(columns[text_col].to_pylist(), b.column(b.num_columns - 1).to_pylist())
+                for t, spans in zip(columns[text].to_pylist(), b.column(len(names)).to_pylist())
             ]
-            columns[text_col] = texts
-            if "n_chars" in columns:
-                columns["n_chars"] = [n if t is None else len(t) for n, t in zip(columns["n_chars"].to_pylist(), texts)]
+            columns[text] = texts
+            if chars:
+                columns[chars] = [n if t is None else len(t) for n, t in zip(columns[chars].to_pylist(), texts)]
             yield columns
 
-    return map_batches(found.select(*names, "found"), run, given)
-
+    return map_batches(_spans(own, text).select(*names, "found"), run, given).toDF(*docs.columns)

@@ -49,6 +49,36 @@ def test_quality_edges(spark):
     assert fertility.quality(frame(spark, EDGE).where("false"), vocabulary, P.PATTERN).count() == 0
 
 
+def test_measures_against_the_library(spark):
+    import base64
+    import math
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    library, back = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), {v: k for k, v in ranks.items()}
+
+    def fragment(token):
+        try:
+            back[token].decode()
+        except UnicodeDecodeError:
+            return True
+        return False
+
+    texts = [t for t in EDGE if t] + ["The river rose, and the fields were under water. " * 3, "漢字かな交じり文 " * 9, "Река поднялась за ночь, и поля ушли под воду, " * 4, "zq#x$v& " * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in fertility.quality(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect():
+        text = texts[r["doc_id"]]
+        ids = library.encode_ordinary(text)
+        counts, n = Counter(ids), len(ids)
+        entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+        share, per, band = sum(map(fragment, ids)) / n, len(text) / n, fertility.BANDS[r["script"]]
+        assert (r["n_tokens"], r["chars_per_token"], r["byte_share"], r["entropy"]) == (n, pytest.approx(per), pytest.approx(share), pytest.approx(entropy, abs=1e-9))
+        e = n**-0.5
+        good = band.low * (1 - e) <= per <= band.high * (1 + e) and share <= band.byte_share + e * math.sqrt(band.byte_share * (1 - band.byte_share))
+        assert r["kept"] == (not r["base_failed"] and good and entropy >= min(band.entropy, band.entropy_share * math.log2(n)))
+
+
 def test_bands_reject_noise_and_keep_prose(spark):
     nouns = "river village council engineer mill dam boat road field church hill bridge winter harvest teacher letter".split()
     rng = random.Random(1)
@@ -127,18 +157,150 @@ def test_redaction():
     assert pii.redact("a me@x.org b", [(2, 10, "email"), (5, 10, "secret")]) == "a [EMAIL] b"
 
 
-LABELLED = html_text.LABELLED
+@pytest.mark.parametrize("name", ["base", "found", "more", "BASE", "c0", "kind"])
+def test_redaction_with_clashing_names(spark, name):
+    df = spark.createDataFrame([(1, "write to me@x.org", "kept", 99), (None, None, None, None)], f"doc_id long, text string, {name} string, n_chars int")
+    out = pii.redacted(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "write to [EMAIL]", "kept", 16), (None, None, None, None)], key=str)
+
+
+SPANS = {
+    "email": ["mail jane.doe [at] example [dot] org now", "contact me (at) my-site (dot) co (dot) uk today"],
+    "phone": ["call 212-555-0187 now", "phone: (415) 555 2671 at night"],
+    "card": ["card: 4111 1111 1111 1112 expired", "visa 5500-0000-0000-0005 lost"],
+    "secret": ["api key = 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "token: " + "aB3" * 300, "password: " + "letters" * 12 + "1Z9x8Y7w6V"],
+    "iban": ["iban: DE89 3704 0044 0532 0130 00 bank", "account GB29NWBK60161331926819 here"],
+    "name": ["dear Mr. James Smith, hello", "signed Frau Anna Müller"],
+}
+
+
+@pytest.mark.parametrize("kind", SPANS)
+def test_candidates_of_each_kind(kind):
+    for text in SPANS[kind]:
+        found = pii.candidates(text, pii.base_spans(text))
+        base = [s for s in pii.base_spans(text) if s[2] == kind]
+        assert [k for *_, k, _ in found] == [kind] or base, text
+        assert all(a == 0 or not text[a - 1].isalnum() for a, *_ in found)
+
+
+def test_labelers_decide_on_whole_kinds(spark):
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    real = [f"phone: 2{digits(2)}-{digits(3)}-{digits(4)} thanks" for _ in range(150)] + [f"signed, Mr {rng.choice(['James', 'Peter'])} Smith" for _ in range(150)]
+    false = [f"ratio 0{digits(2)}.{digits(3)}.0000/{k} of it" for k in range(150)] + [f"/Dr. X{'o' * 5}/ {k}" for k in range(150)]
+    df = spark.createDataFrame(list(enumerate(real + false)), "doc_id long, text string")
+    found = {r["doc_id"]: len(r["found"]) for r in pii.find_personal_data(df).collect()}
+    assert sum(found[k] for k in range(300)) > 270 and sum(found[k] for k in range(300, 600)) < 30
+
+
+def test_secrets_of_any_length():
+    for n in (20, 480, 600, 5000):
+        assert [k for *_, k, _ in pii.candidates("key: " + "abcde12345" * (n // 10) + " end", [])] == ["secret"]
+    assert not pii.candidates("x" * 700 + " " + "a-b" * 30, [])
 
 
 @pytest.fixture(scope="module")
 def weights():
-    return html_text.train_weights(LABELLED)
+    return html_text.train_weights(html_text.labelled_pages())
 
 
 def test_words_are_positive_and_tags_negative(weights):
     assert weights["word"] > 0 and all(w < 0 for k, w in weights.items() if k not in ("word", "link"))
 
 
+PROSE = ["Long ago the harbour was deep enough for the great ships of the company.", "Then the sand came, year after year, and the merchants left one by one.", "Today only fishing boats lie at the old quay, and children jump from its wall."]
+LINKS = "".join(f"<li><a href='/{k}'>{w}</a></li>" for k, w in enumerate("Start Shop Team Jobs Press Help Map Login".split()))
+BODY = f"<h1>The harbour</h1><p>{PROSE[0]}</p><p>{PROSE[1]} <a href='m'>More on sand</a>.</p><p>{PROSE[2]}</p>"
+TEXT = f"The harbour {PROSE[0]} {PROSE[1]} More on sand. {PROSE[2]}"
+LAYOUTS = {
+    "lists without names": f"<body><ul>{LINKS}</ul><div>{BODY}</div><ul>{LINKS}</ul></body>",
+    "a known name within another one": f"<body><div class='post comments-open'>{BODY}</div><div class='comments'><p>Lovely place, we were there in May</p></div></body>",
+    "no container": f"<ul>{LINKS}</ul>{BODY}<div id='related'><p>Read about the lighthouse next week</p></div>",
+    "wrongly named whole": f"<body><form class='page-wrapper'><nav><ul>{LINKS}</ul></nav><div class='sidebar'>{BODY}</div></form></body>",
+    "advert inside": f"<main>{BODY.replace('</p><p>', '</p><div class=ad>Buy two boats and get one more for free</div><p>', 1)}</main><aside>Other harbours of the coast</aside>",
+    "unclosed": f"<div class='ad'>" + "<i>x</i>" * 450 + f"<h1>The harbour</h1><p>{PROSE[0]}<p>{PROSE[1]} <a href='m'>More on sand</a>.<p>{PROSE[2]}",
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_that_were_not_labelled(weights, layout):
+    assert html_text.extract(LAYOUTS[layout], weights) == TEXT
+
+
+def test_the_region_decides(weights, monkeypatch):
+    pages = [LAYOUTS[k] for k in ("lists without names", "no container")]
+    monkeypatch.setattr(html_text, "best_region", lambda scores: (0, len(scores)))
+    for page in pages:
+        assert html_text.extract(page, weights) != TEXT and "Login" in html_text.extract(page, weights)
+
+
+def test_weights_come_from_the_labelled_pages():
+    pages = [(f"<div class='zone'><p>{PROSE[0]}</p></div><div class='comments'><p>{PROSE[1]}</p><p>{PROSE[2]}</p></div>", f"{PROSE[1]} {PROSE[2]}")] * 30
+    assert html_text.extract(pages[0][0], html_text.train_weights(pages)) == f"{PROSE[1]} {PROSE[2]}"
+
+
+def brute_extract(tree, weights):
+    """Main text of a tree of (tag, class, children) and words, by all regions of the flat page."""
+    total, flat = 0, []
+
+    def count(node):
+        return len(node.split()) if isinstance(node, str) else sum(map(count, node[2]))
+
+    def walk(node, against, link, article):
+        if isinstance(node, str):
+            n = len(node.split())
+            flat.append(("text", node, n * (min(against) if against else weights["link" if link else "word"])))
+            return
+        tag, cls, children = node
+        own = [f"role:.{cls}"] if cls else []
+        own += [f"role:{'article ' if article else ''}{tag}"] if tag in html_text.ROLE_TAGS else []
+        speaks = [weights[r] for r in own if r in weights] if count(node) <= html_text.WHOLE * total else []
+        flat.append((tag, "", weights.get(f"tag:{tag}", weights["tag"])))
+        for child in children:
+            walk(child, against + speaks, link or tag == "a", article or tag == "article")
+        flat.append((tag, "", weights.get(f"tag:{tag}", weights["tag"])))
+
+    total = sum(map(count, tree))
+    for node in tree:
+        walk(node, [], False, False)
+    sums = {(i, j): sum(x[2] for x in flat[i:j]) for i in range(len(flat)) for j in range(i + 1, len(flat) + 1)}
+    best = max(sums.values(), default=0)
+    if best <= 0:
+        return {""}
+    texts = set()
+    for (i, j), value in sums.items():
+        if value >= best - 1e-9:
+            blocks = [[]]
+            for kind, text, score in flat[i:j]:
+                if kind == "text":
+                    blocks[-1] += [text] * (score >= 0)
+                elif kind not in html_text.INLINE:
+                    blocks.append([])
+            texts.add(" ".join(t for b in blocks if (t := " ".join("".join(b).split()))))
+    return texts
+
+
+def test_extraction_against_brute_force(weights):
+    rng = random.Random(11)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return "".join(rng.choice(["ja ", "nein ", "tide ", "harbour "]) for _ in range(rng.randrange(0, 6)))
+        tag = rng.choice(["div", "p", "ul", "li", "nav", "footer", "header", "section", "b", "h2", "aside"])
+        return tag, rng.choice(["", "", "ad", "comments", "zone", "sidebar"]), [tree(depth - 1) for _ in range(rng.randrange(1, 4))]
+
+    def markup(node):
+        if isinstance(node, str):
+            return node
+        tag, cls, children = node
+        return f"<{tag}{f' class={cls!r}' if cls else ''}>" + "".join(map(markup, children)) + f"</{tag}>"
+
+    for _ in range(150):
+        nodes = [tree(3) for _ in range(rng.randrange(1, 4))]
+        assert html_text.extract("".join(map(markup, nodes)), weights) in brute_extract(nodes, weights)
+
+
 def test_best_region_against_brute_force():
     random.seed(2)
     for _ in range(300):
@@ -205,7 +367,7 @@ def test_count_edges(spark, sp):
 
 
 def test_html_long_menus_and_attributes():
-    weights = html_text.train_weights(html_text.LABELLED)
+    weights = html_text.train_weights(html_text.labelled_pages())
     prose = " ".join(html_text._PROSE)
     menu = "<li><a href='/x'>Entry</a></li>" * 300
     assert html_text.extract(f"<body><nav><ul>{menu}</ul><p>{prose}</p><p>{prose}</p></body>", weights) == f"{prose} {prose}"
