@@ -5,15 +5,18 @@ sizes. The universe of hashes is partitioned into m > H segments, by a hash of t
 least m - H segments agree exactly. Segments are ranked by their content alone (larger first, then by hash), and a set
 indexes its H + 1 best; as both sets rank the common segments alike, the best common one is indexed by both. So small
 and empty segments, which unrelated sets share by chance or by a common passage, are the ones that are left out. A set
-of which an empty segment would be needed is indexed under further partitions until one needs none. In bands where it
-costs less, the allocation is a single segment with its one-deletion neighbourhood instead (a segment may then differ
-by one element): `plan_of` compares the rows and the expected chance matches of both.
+of which an empty segment would be needed is indexed under further partitions until one needs none.
+
+The other allocation gives some segments a one-deletion neighbourhood (the keys of the segment and of it without each
+of its elements), which finds segments that differ by one element. A difference of H elements can't be too large for
+every segment if e exact and l such segments have e + 2 l > H, so fewer and larger segments do. `plan_of` compares all
+mixtures for each band of sizes by the rows that they write and the chance matches that they must expect.
 
 1. One pass over the texts gives each document its set's size, hash and parity bitmap, and the keys of each distinct
    set, packed by key partition. Equal sets are one from here on, so groups of copies cost nothing.
 2. A key partition keeps the keys that several sets have. Within a key, a breadth-first search links sets whose sizes
    and bitmaps allow t (the bits of an exclusive or are a lower bound of the difference); it keeps a spanning tree,
-   never all pairs.
+   never all pairs. Keys of many sets are dealt to pairs of blocks, each a task of its own.
 3. The trees' components hold every true link. Each component's sets meet once and are verified exactly, by a search
    over an inverted index that drops what it has reached. Components beyond a bound are dealt to pairs of blocks.
 4. Components of verified links give each document the smallest id it can reach.
@@ -24,10 +27,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from math import ceil, exp
+from math import ceil, exp, factorial
 
 import numpy as np
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +46,21 @@ KEY_BYTES = 6
 COMPONENT_SHINGLES = 30_000_000
 
 
+#: Rows that a chance match is held to cost, and sets that share a key in one task; more are dealt to pairs of blocks.
+CHANCE, GROUP = 20, 4096
+
+
 @dataclass(frozen=True)
 class Plan:
-    """Size band [low, high] as the smaller set; limit is H; one_deletion: one segment with its neighbourhood."""
+    """Size band [low, high] as the smaller set; limit is H. Of its segments the first `loose` have a one-deletion
+    neighbourhood; without any, the segments are ranked and limit + 1 are indexed."""
 
     number: int
     low: int
     high: int
     limit: int
     segments: int
-    one_deletion: bool
+    loose: int
 
 
 def _difference(a: int, b: int, percent: int) -> int:
@@ -59,17 +68,25 @@ def _difference(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
+def _thin(mean: float, most: int) -> float:
+    """The chance that a segment has so many elements at most (a Poisson distribution)."""
+    return exp(-mean) * sum(mean**k / factorial(k) for k in range(most + 1))
+
+
 def plan_of(number: int, low: int, high: int, percent: int) -> Plan:
-    """The cheaper allocation of a band: rows written, and five for each key expected to be shared by chance (one of a
-    segment of fewer than two elements)."""
+    """The cheapest allocation of a band: the rows written, and CHANCE for each key that is expected to be shared by
+    chance, that is one of fewer than two elements (after the deletion)."""
     limit = _difference(high, high * 100 // percent, percent)
-    segments = limit + 1 if not limit else max(limit + 2, ceil(SPARE * (limit + 1)))
-    mean = low / segments
-    thin = exp(-mean) * (1 + mean) * segments - (segments - limit - 1)
-    exact = (limit + 1) + 5 * max(0.0, thin)
-    if limit == 1 and 1 + high < exact * 4:  # one whole segment and its deletions reach a difference of one on each side
-        return Plan(number, low, high, limit, 1, True)
-    return Plan(number, low, high, limit, segments, False)
+    ranked = limit + 1 if not limit else max(limit + 2, ceil(SPARE * (limit + 1)))
+    mean = low / ranked
+    options = [((limit + 1) + CHANCE * max(0.0, _thin(mean, 1) * ranked - (ranked - limit - 1)), ranked, 0)]
+    for loose in range(1, limit // 2 + 2):
+        exact = max(0, limit + 1 - 2 * loose)
+        segments = exact + loose
+        rows = exact + loose * (1 + high / segments)
+        options.append((rows + CHANCE * (exact * _thin(low / segments, 1) + loose * _thin(low / segments, 2)), segments, loose))
+    _, segments, loose = min(options)
+    return Plan(number, low, high, limit, segments, loose)
 
 
 @lru_cache
@@ -124,17 +141,36 @@ def set_hash(values: np.ndarray) -> int:
     return int(mix64(np.array([total], U))[0] >> U(1))
 
 
+def _loose_keys(values: np.ndarray, plan: Plan, seed: int) -> tuple[np.ndarray, bool]:
+    """The keys of a partition with one-deletion neighbourhoods, and whether it needs no empty content: its exact
+    segments have an element, the others two. The last partition that is tried has the keys of empty contents too."""
+    own = mix64(np.array([(plan.number * SEEDS + seed + 7) << 1 | 1], U))[0]
+    mixed = mix64(values ^ own)
+    segment = ((mixed >> U(32)) * U(plan.segments) >> U(32)).astype(np.int64)
+    size = np.bincount(segment, minlength=plan.segments)
+    total = np.zeros(plan.segments, U)
+    inner = mix64(mixed)
+    np.add.at(total, segment, inner)
+    tag = mix64(np.arange(plan.segments, dtype=U) + own)
+    loose = segment < plan.loose
+    keys = [total ^ tag, (total[segment[loose]] - inner[loose]) ^ tag[segment[loose]]]
+    left = [size, size[segment[loose]] - 1]  # elements behind each key
+    whole = bool((size[: plan.loose] > 1).all() and (size[plan.loose :] > 0).all())
+    flat, some = mix64(np.concatenate(keys)), np.concatenate(left) > 0
+    return (flat[some] if whole or seed < SEEDS - 1 else flat), whole
+
+
 def keys_of(values: np.ndarray, percent: int) -> np.ndarray:
     """The keys under which a set is indexed."""
     out = []
     for plan in plans_for(len(values), percent):
-        tag = mix64(np.array([plan.number + 1], U))[0]
-        if plan.one_deletion:
-            total = mix64(values ^ tag)
-            whole = total.sum(dtype=U)
-            out += [mix64(np.array([whole ^ tag], U)), mix64((whole - total) ^ tag)]
-            continue
         for seed in range(SEEDS):
+            if plan.loose:
+                found, whole = _loose_keys(values, plan, seed)
+                out.append(found)
+                if whole:
+                    break
+                continue
             own = mix64(np.array([plan.number * SEEDS + seed + 7], U))[0]
             mixed = mix64(values ^ own)
             segment = ((mixed >> U(32)) * U(plan.segments) >> U(32)).astype(np.int64)
@@ -149,8 +185,9 @@ def keys_of(values: np.ndarray, percent: int) -> np.ndarray:
             if len(present) >= needed:
                 break
         else:  # no partition without an empty segment: index the empty ones of the last partition too
-            empty = np.setdiff1d(np.arange(plan.segments), present)
-            out.append(mix64(mix64(np.full(len(empty), own, U)) + empty.astype(U)))
+            if not plan.loose:
+                empty = np.setdiff1d(np.arange(plan.segments), present)
+                out.append(mix64(mix64(np.full(len(empty), own, U)) + empty.astype(U)))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U)
 
 
@@ -242,6 +279,7 @@ def _signatures(docs: DataFrame, partitions: int, words: int, percent: int) -> D
 
     def run(batches):
         seen: set[int] = set()
+        spread = TaskContext.get().partitionId()  # documents' own rows go round, as a text may have most of them
         for b in batches:
             ids, texts = b.column(0).to_pylist(), texts_of(b.column(1))
             rows, keys, owners = [], [], []
@@ -260,7 +298,8 @@ def _signatures(docs: DataFrame, partitions: int, words: int, percent: int) -> D
                     seen.add(own)
                     keys.append(keys_of(values, percent))
                     owners.append(own)
-                rows.append((-1 - (own or 0) % partitions, bitmap(values).tobytes() if fresh else None, key, len(values), own))
+                rows.append((-1 - spread % partitions, bitmap(values).tobytes() if fresh else None, key, len(values), own))
+                spread += 1
                 if sum(map(len, keys)) > 500_000:
                     yield flush()
                     rows, keys, owners = [], [], []
@@ -271,7 +310,8 @@ def _signatures(docs: DataFrame, partitions: int, words: int, percent: int) -> D
 
 
 def _shared_keys(signatures: DataFrame, partitions: int) -> DataFrame:
-    """Keys that several sets have, as (group, hash) rows (each list of sets once), beside the documents' own rows."""
+    """Keys that several sets have, as (group, hash, size: how many) rows (each list of sets once), beside the
+    documents' own rows."""
 
     def groups(blobs: list[bytes]) -> dict | None:
         keys, hashes = (np.concatenate(x) for x in zip(*map(_unpack, blobs)))
@@ -290,7 +330,7 @@ def _shared_keys(signatures: DataFrame, partitions: int) -> DataFrame:
         n = size[many]
         stop = np.cumsum(n)
         member = hashes[np.repeat(first[many] - (stop - n), n) + np.arange(stop[-1])]
-        return {"group": np.repeat((name[many] >> U(1)).astype(np.int64), n), "hash": member, "doc": [None] * len(member), "size": [None] * len(member), "bits": [None] * len(member)}
+        return {"group": np.repeat((name[many] >> U(1)).astype(np.int64), n), "hash": member, "doc": [None] * len(member), "size": np.repeat(n, n), "bits": [None] * len(member)}
 
     def run(batches):
         at, blobs = None, []
@@ -331,6 +371,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == last:
             break
         last = state
+    else:
+        raise RuntimeError(f"the components still change after {rounds} rounds; give more")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
@@ -359,7 +401,15 @@ def _column(parts: list, k: int) -> list:
     return [x for p in parts for x in p.column(k).to_pylist()]
 
 
-def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _in_blocks(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(task, columns) of rows (key, hash, blocks, columns): a task for each key, and for one of several blocks a task
+    for each pair of them, so each pair of a key's rows meets in one and no task has more than two blocks."""
+    block = F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("blocks", F.greatest("blocks", F.lit(1))).withColumn("block", block).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(F.xxhash64(key, F.least("i", "block"), F.greatest("i", "block")).alias("task"), *columns)
+
+
+def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", group_sets: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row. Two documents link when 100 * intersection >= percent * union of
     their shingle sets; component_id is the smallest id reached. Null, empty and blank texts have no shingles and link
     with nothing. Ids are integers; a row with a null id counts as a member of its class but gives it no id, and its
@@ -369,19 +419,20 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     found = stored(_shared_keys(_signatures(texts, partitions, words, percent), partitions), "shingle-keys")
     members = found.where("group is null").select("doc", "size", "hash", "bits")
-    groups = found.where("group is not null").select("group", "hash").distinct()
+    groups = found.where("group is not null").select("group", "hash", F.col("size").alias("many")).distinct()
 
     # one bitmap and one document for each distinct set that shares a key
     distinct = members.where("hash is not null").groupBy("hash").agg(F.min("doc").alias("doc"), F.max("size").alias("size"), F.max("bits").alias("bits"), F.count("*").alias("n"))
     distinct = stored(distinct, "shingle-sets")
-    shared = groups.join(distinct.select("hash", "size", "bits"), "hash").select("group", "hash", "size", "bits")
+    shared = groups.join(distinct.select("hash", "size", "bits"), "hash").withColumn("blocks", F.ceil(F.col("many") / group_sets).cast("int"))
+    shared = _in_blocks(shared, "group", ["hash", "size", "bits"])
 
     def tree(parts):
         own, sizes = np.array(_column(parts, 1), np.int64), np.array(_column(parts, 2), np.int64)
         edges = list(bitmap_tree(sizes, [np.frombuffer(x, np.uint8) for x in _column(parts, 3)], percent))
         return {"a": own[[e[0] for e in edges]], "b": own[[e[1] for e in edges]]} if edges else None
 
-    near = components(_by_key(shared, "group", tree, "a long, b long"))
+    near = components(_by_key(shared, "task", tree, "a long, b long"))
     near = stored(near.unionByName(near.select(F.col("root").alias("node"), "root")).distinct(), "candidates")
 
     # the sets of candidates, made again from their documents' texts
@@ -421,14 +472,7 @@ def _verified(sets: DataFrame, percent: int, bound: int = COMPONENT_SHINGLES) ->
     """(a, b): a spanning forest of the true links of each candidate component (root, hash, weight, elements). A
     component of more than bound elements is cut into blocks, and each pair of blocks is verified by a task of its
     own, so none holds more than twice the bound; smaller ones are one block."""
-    blocks = F.greatest(F.ceil(F.col("weight") / bound), F.lit(1)).cast("int")
-    block = F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int")
-    low = lambda i: F.least(i, F.col("block"))
-    high = lambda i: F.greatest(i, F.col("block"))
-    dealt = sets.withColumn("blocks", blocks).withColumn("block", block)
-    whole = dealt.where("blocks = 1").select(F.xxhash64("root").alias("task"), "hash", "elements")
-    pairs = dealt.where("blocks > 1").select(F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "root", "block", "hash", "elements")
-    pairs = pairs.select(F.xxhash64("root", low(F.col("i")), high(F.col("i"))).alias("task"), "hash", "elements")
+    dealt = _in_blocks(sets.withColumn("blocks", F.ceil(F.col("weight") / bound).cast("int")), "root", ["hash", "elements"])
 
     def tree(parts):
         own, at = np.unique(np.array(_column(parts, 1), np.int64), return_index=True)
@@ -436,7 +480,7 @@ def _verified(sets: DataFrame, percent: int, bound: int = COMPONENT_SHINGLES) ->
         edges = list(exact_tree([np.frombuffer(raw[k], "<u8") for k in at], percent)) if len(own) > 1 else []
         return {"a": own[[e[0] for e in edges]], "b": own[[e[1] for e in edges]]} if edges else None
 
-    return _by_key(whole.unionByName(pairs), "task", tree, "a long, b long")
+    return _by_key(dealt, "task", tree, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, normal_word, texts_of
+from quillmesh.llm.common import map_batches, normal_word, numbered_columns, texts_of
 
 #: Characters in the longest n-gram, bits of a character (any code point, above the two marks), and the discount.
 ORDER, BITS, DISCOUNT = 5, 21, 0.75

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -228,8 +229,8 @@ def test_join_finds_exactly_the_links(spark):
 
 def test_join_keys_miss_no_link():
     rng = np.random.default_rng(3)
-    for _ in range(400):
-        n = int(rng.integers(1, 120))
+    for _ in range(3000):
+        n = int(rng.choice([rng.integers(1, 12), rng.integers(1, 40), rng.integers(1, 400)]))
         a = np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64))
         most = (2 * len(a)) // 9 + 2
         b = np.unique(np.concatenate([np.delete(a, rng.choice(len(a), min(len(a) - 1, int(rng.integers(0, most))), replace=False)), rng.integers(1, 1 << 60, int(rng.integers(0, most))).astype(np.uint64)]))
@@ -239,6 +240,45 @@ def test_join_keys_miss_no_link():
             assert len(list(shingle_join.bitmap_tree(np.array([len(a), len(b)]), [shingle_join.bitmap(a), shingle_join.bitmap(b)], 80))) == 1
 
 
+def test_join_equals_brute_force_on_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    sets, index, parent = {}, defaultdict(list), {k: k for k, _ in rows}
+    for k, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[k] = {tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} if w else set()
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k in sorted(sets):
+        common = Counter(other for x in sets[k] for other in index[x])
+        for other, n in common.items():
+            if 100 * n >= 80 * (len(sets[k]) + len(sets[other]) - n):
+                x, y = find(k), find(other)
+                parent[max(x, y)] = min(x, y)
+        for x in sets[k]:
+            index[x].append(k)
+    for options in ({}, {"group_sets": 3}):
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_join.link_documents(docs, **options).collect()}
+        assert found == {k: (len(s), find(k)) for k, s in sets.items()}
+
+
+def test_allocations_compare_costs():
+    plans = shingle_join.plans(80, 3000)
+    assert any(p.loose == 0 for p in plans if p.limit) and any(p.loose and p.limit > 1 for p in plans) and any(0 < p.loose < p.segments for p in plans)
+    assert all((p.segments - p.loose) + 2 * p.loose > p.limit and (p.loose or p.segments > p.limit) for p in plans)
+
+
+def test_unfinished_components_are_an_error(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long")
+    assert {r["root"] for r in shingle_join.components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        shingle_join.components(chain, rounds=2)
+
+
 def test_large_components_in_blocks(spark):
     rng = np.random.default_rng(8)
     base = rng.integers(1, 1 << 60, 60).astype(np.uint64)
