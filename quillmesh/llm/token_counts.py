@@ -9,14 +9,18 @@ transition reads one character and emits the (possibly negative) change of the t
 compiled on first use and kept. A character outside the vocabulary emits its UTF-8 bytes and resets the state, and so
 does a blank after another character, as no piece reaches over it.
 
-Long texts are cut into chunks. The map of a chunk from entry state to (exit state, count) is constant after its first
-reset, so it is kept as (head, count, tail); maps compose associatively, and a balanced scan combines them.
+A text is cut into chunks, and each chunk is a map from the state in which it is entered to the state in which it is
+left and the tokens between. Up to the first reset in a chunk a map depends on the entry state; from there on all entry
+states agree. A chunk is evaluated for the states in which it may be entered: what the chunk before it leaves behind its
+last reset, or, behind a chunk without one, the states to which the machine settles over the characters before the
+border from a number of starts. Maps compose by looking up what one leaves in the next one, and a prefix scan composes
+them; a state that wasn't foreseen is evaluated when it comes up, so the counts are exact in any case.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +29,12 @@ from pyspark.sql import functions as F
 from quillmesh.llm.common import map_batches, texts_of
 
 MARK = "▁"
-#: Characters in a chunk of a long text, words and states that are kept, and the longest kept word.
-CHUNK, KEPT, STATES, LONG = 1 << 16, 200_000, 250_000, 64
+#: Characters in a chunk, words and states that are kept, and the longest kept word.
+CHUNK, KEPT, STATES, LONG = 4096, 200_000, 250_000, 64
+#: Characters over which states settle, starts that are tried, and characters after which equal states are merged.
+SETTLE, STARTS, MERGE = 96, 12, 256
+#: What of a chunk depends on its entry state: blanks that may go on a run of them, and what follows.
+_HEAD, _WORDS = re.compile(f"{MARK}*[^{MARK}]*"), re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class PieceTransducer:
@@ -47,8 +55,10 @@ class PieceTransducer:
         self.valid: dict[tuple[str, str], bool] = {}
         self.states: dict[tuple, int] = {}
         self.live: list[tuple] = []
+        self.blank: list[bool] = []  # whether the last character was a blank
         self.next: list[dict[str, tuple[int, int]]] = []
-        self.start = self._state((("", None, 0),))
+        self.tails: dict[str, tuple[int, int]] = {}
+        self.start = self._state((("", None, 0),), False)
 
     def greedy(self, text: str) -> list[str]:
         """The merges by definition: the best-scored neighbouring pair first, the leftmost of equals."""
@@ -66,113 +76,145 @@ class PieceTransducer:
             known = self.valid[key] = self.greedy((last or "") + piece) == ([last] if last else []) + [piece]
         return known
 
-    def _state(self, live: tuple) -> int:
-        if live not in self.states:
-            self.states[live] = len(self.live)
+    def _state(self, live: tuple, blank: bool) -> int:
+        if (live, blank) not in self.states:
+            self.states[live, blank] = len(self.live)
             self.live.append(live)
+            self.blank.append(blank)
             self.next.append({})
-        return self.states[live]
+        return self.states[live, blank]
 
     def _compile(self, state: int, char: str) -> tuple[int, int]:
         """live: (piece begun, last token before it, its count less the newest count), the longest piece first."""
         if char not in self.scores:
             step = self.start, len(char.encode("utf-8", "surrogatepass"))
         else:
-            live = self.live[state]
+            live = self.live[self.start if char == MARK and not self.blank[state] else state]
             token, change = next((b + char, d + 1) for b, last, d in live if b + char in self.scores and self._fits(last, b + char))
             kept = tuple((b + char, last, d - change) for b, last, d in live if b + char in self.inner)
-            step = self._state((*kept, ("", token, 0))), change
+            step = self._state((*kept, ("", token, 0)), char == MARK), change
         self.next[state][char] = step
         return step
 
-    def run(self, text: str) -> int:
-        """Tokens of a text that begins in the start state."""
-        state, count = self.start, 0
+    def run(self, text: str, state: int | None = None) -> tuple[int, int]:
+        """(the state after a text, its tokens) from a state, else from the start."""
+        state, count = self.start if state is None else state, 0
         for char in text:
             step = self.next[state].get(char) or self._compile(state, char)
             state, count = step[0], count + step[1]
-        return count
+        return state, count
+
+    def run_all(self, text: str, states: Iterable[int]) -> dict[int, tuple[int, int]]:
+        """run() for each of some states; those that have become equal go on as one."""
+        found = {s: (s, 0) for s in states}
+        for k in range(0, len(text), MERGE):
+            part = text[k : k + MERGE]
+            steps = {s: self.run(part, s) for s in {s for s, _ in found.values()}}
+            found = {entry: (steps[s][0], n + steps[s][1]) for entry, (s, n) in found.items()}
+        return found
 
     def word(self, word: str) -> int:
+        """Tokens of a word after one blank."""
         if (n := self.words.get(word)) is None:
-            n = self.run(word)
+            n = self.run(MARK + word)[1]
             if len(word) <= LONG:
                 if len(self.words) >= KEPT:
                     self.words.clear()
                 self.words[word] = n
         return n
 
-    def marked(self, text: str) -> int:
-        """Tokens of a text whose blanks are marks already; each word runs from the reset state."""
-        return sum(map(self.word, re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text)))
+    def tail(self, word: str) -> tuple[int, int]:
+        """run() of the blanks and characters after the last reset of a chunk."""
+        if (found := self.tails.get(word)) is None:
+            found = self.run(word)
+            if len(word) <= LONG:
+                if len(self.tails) >= KEPT:
+                    self.tails.clear()
+                self.tails[word] = found
+        return found
 
     def chunk_map(self, marked: str) -> ChunkMap:
-        cuts = [m.end() for m in re.finditer(f"[^{MARK}](?={MARK})", marked)]
-        if not cuts:
-            return ChunkMap(marked, None, "")
-        return ChunkMap(marked[: cuts[0]], self.marked(marked[cuts[0] : cuts[-1]]), marked[cuts[-1] :])
-
-    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        if a.count is None and b.count is None:
-            return self.chunk_map(a.head + b.head)
-        if a.count is None:
-            left = self.chunk_map(a.head + b.head)
-            return ChunkMap(left.head + left.tail, b.count, b.tail) if left.count is None else ChunkMap(left.head, left.count + self.marked(left.tail) + b.count, b.tail)
-        if b.count is None:
-            right = self.chunk_map(a.tail + b.head)
-            return ChunkMap(a.head, a.count, right.head) if right.count is None else ChunkMap(a.head, a.count + self.marked(right.head) + right.count, right.tail)
-        return ChunkMap(a.head, a.count + self.marked(a.tail + b.head) + b.count, b.tail)
-
-    def scan(self, maps: list[ChunkMap]) -> list[ChunkMap]:
+        cut = _HEAD.match(marked).end()
+        if cut == len(marked):
+            return ChunkMap(self, marked, None)
+        words = marked[cut + 1 :].split(MARK)
+        if "" in words:
+            *whole, last = _WORDS.findall(marked[cut:])
+            count = sum(self.word(w[1:]) if w[1:2] != MARK else self.run(w)[1] for w in whole)
+        else:
+            last = MARK + words.pop()
+            known = list(map(self.words.get, words))
+            if None in known:
+                known = [self.word(w) if n is None else n for w, n in zip(words, known)]
+            count = sum(known)
+        state, more = self.tail(last)
+        return ChunkMap(self, marked[:cut], (state, count + more))
+
+    def foresee(self, maps: list[ChunkMap], marked: str, chunk: int) -> None:
+        """Evaluates each map for the states in which it may be entered."""
+        maps[0].evaluate([self.start])
+        for k in range(1, len(maps)):
+            if (left := maps[k - 1].rest) is not None:
+                maps[k].evaluate([left[0]])
+            else:
+                border = k * chunk
+                froms = range(max(0, border - SETTLE), max(1, border - SETTLE + STARTS))
+                maps[k].evaluate({self.run(marked[a:border])[0] for a in froms if a < border})
+
+    @staticmethod
+    def scan(maps: list) -> list:
         """Inclusive prefix scan: log2(n) rounds, and the compositions of a round don't depend on each other."""
         step = 1
         while step < len(maps):
-            maps = [self.compose(maps[k - step], m) if k >= step else m for k, m in enumerate(maps)]
+            maps = [Composed(maps[k - step], m) if k >= step else m for k, m in enumerate(maps)]
             step *= 2
         return maps
 
-    def total(self, maps: list[ChunkMap]) -> ChunkMap:
-        """The last prefix alone, by a balanced reduction."""
-        while len(maps) > 1:
-            maps = [self.compose(*maps[k : k + 2]) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
-        return maps[0]
-
     def count(self, text: str, chunk: int = CHUNK) -> int:
         """Tokens of a whole text, with the blank mark that the library puts before it."""
         if not text:
             return 0
         if len(self.live) > STATES:
             self._clear()
-        if len(text) <= chunk:
-            plain = text.replace(MARK, " ") if MARK in text else text
-            words = plain.split(" ")
-            if "" not in words:
-                known = list(map(self.words.get, words))
-                if None in known:
-                    known = [self._plain(w) if n is None else n for w, n in zip(words, known)]
-                return sum(known)
         marked = MARK + text.replace(" ", MARK)
-        whole = self.total([self.chunk_map(marked[k : k + chunk]) for k in range(0, len(marked), chunk)])
-        return self.marked(whole.head) + (whole.count or 0) + self.marked(whole.tail)
-
-    def _plain(self, word: str) -> int:
-        """A word after exactly one blank is kept without the mark; words with marks of their own begin with one."""
-        if (n := self.words.get(word)) is None:
-            n = self.run(MARK + word)
-            if len(word) <= LONG:
-                if len(self.words) >= KEPT:
-                    self.words.clear()
-                self.words[word] = n
-        return n
+        maps = [self.chunk_map(marked[k : k + chunk]) for k in range(0, len(marked), chunk)]
+        self.foresee(maps, marked, chunk)
+        return self.scan(maps)[-1].at(self.start)[1]
 
 
-@dataclass(frozen=True)
 class ChunkMap:
-    """head: up to the first reset; count: tokens from the first to the last reset, None without any; tail: the rest."""
+    """Entry state to (exit state, tokens). head: up to the first reset; rest: the exit state and the tokens from there
+    on, which no entry state changes; None without a reset."""
+
+    def __init__(self, machine: PieceTransducer, head: str, rest: tuple[int, int] | None):
+        self.machine, self.head, self.rest, self.table = machine, head, rest, {}
+
+    def evaluate(self, states: Iterable[int]) -> None:
+        for entry, (state, count) in self.machine.run_all(self.head, [s for s in states if s not in self.table]).items():
+            self.table[entry] = (state, count) if self.rest is None else (self.rest[0], count + self.rest[1])
+
+    def at(self, state: int) -> tuple[int, int]:
+        if state not in self.table:
+            self.evaluate([state])
+        return self.table[state]
+
+
+class Composed:
+    """The map of two neighbouring chunks (or rows of them), for the entry states that the first one knows."""
+
+    def __init__(self, first: ChunkMap | Composed, second: ChunkMap | Composed):
+        self.first, self.second = first, second
+        self.table = {s: self._through(s) for s in first.table}
+
+    def _through(self, state: int) -> tuple[int, int]:
+        between, count = self.first.at(state)
+        left, more = self.second.at(between)
+        return left, count + more
 
-    head: str
-    count: int | None
-    tail: str
+    def at(self, state: int) -> tuple[int, int]:
+        if state not in self.table:
+            self.table[state] = self._through(state)
+        return self.table[state]
 
 
 _MACHINES: dict[str, PieceTransducer] = {}

@@ -343,17 +343,38 @@ def sp():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([*"abcthing  ▁s/0\n\téßЖ漢", "the", "ing", "  ", "    ", "<s>", "<0x41>", "😀", "\x00"]), max_size=40).map("".join))
 def test_counts_are_the_library_counts(fst, sp, text):
-    assert fst.count(text) == len(sp.encode(text)) == fst.count(text, chunk=7)
+    assert fst.count(text) == len(sp.encode(text)) == fst.count(text, chunk=7) == fst.count(text, chunk=1)
 
 
 def test_chunk_maps_compose_associatively(fst):
     random.seed(7)
-    for _ in range(200):
-        text = "▁" + "".join(random.choice("ab▁c") for _ in range(30))
-        maps = [fst.chunk_map(text[k : k + 4]) for k in range(0, len(text), 4)]
-        whole = fst.chunk_map(text)
-        total = lambda m: fst.marked(m.head) + (m.count or 0) + fst.marked(m.tail)
-        assert total(fst.total(maps)) == total(whole) == total(fst.scan(maps)[-1]) == fst.marked(text)
+    for alphabet in ("ab▁c", "theing", "aaaa", "the▁▁ ing0é漢", "漢字かな"):
+        for _ in range(60):
+            text = "▁" + "".join(random.choice(alphabet) for _ in range(40)).replace(" ", "▁")
+            size = random.randrange(1, 9)
+            maps = [fst.chunk_map(text[k : k + size]) for k in range(0, len(text), size)]
+            fst.foresee(maps, text, size)
+            a, b, c = maps[0], maps[1], maps[2]
+            left, right = token_counts.Composed(token_counts.Composed(a, b), c), token_counts.Composed(a, token_counts.Composed(b, c))
+            assert left.at(fst.start) == right.at(fst.start) == fst.run(text[: 3 * size])
+            for k, prefix in enumerate(fst.scan(maps)):
+                assert prefix.at(fst.start) == fst.run(text[: (k + 1) * size])
+            for m, k in zip(maps, range(0, len(text), size)):
+                for state in range(0, len(fst.live), max(1, len(fst.live) // 20)):  # a map is right for any entry state
+                    assert m.at(state) == fst.run(text[k : k + size], state)
+
+
+def test_entry_states_are_foreseen(fst, sp):
+    rng = random.Random(1)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "漢字仮名交文"):
+        text = "".join(rng.choice(letters) for _ in range(3000))
+        marked = "▁" + text
+        maps = [fst.chunk_map(marked[k : k + 500]) for k in range(0, len(marked), 500)]
+        fst.foresee(maps, marked, 500)
+        foreseen = [set(m.table) for m in maps]
+        assert fst.scan(maps)[-1].at(fst.start)[1] == len(sp.encode(text)) == fst.count(text, 500)
+        assert [set(m.table) for m in maps] == foreseen  # nothing was left to be evaluated one after the other
+        assert all(m.rest is None for m in maps) or "漢" in letters
 
 
 def test_count_edges(spark, sp):
