@@ -6,9 +6,12 @@ a class has seen rarely falls back on what all text has. The log-likelihoods of
 time) under the two models are compared, and a logistic curve over the length-normalised difference of the text and of
 its most telling words turns them into a score.
 
-Counts come from all labelled training rows and are summed by Spark. Every distinct n-gram has its own counts, so the
-tables that come to the driver and are broadcast grow with the distinct n-grams of the labelled rows. The logistic curve is fitted on at most `calibration` labelled rows, which are
-scored by a model of the other half of the rows.
+Counts come from all labelled training rows and are summed by Spark; every distinct n-gram has its own, in a stored
+table that grows with the labelled rows. Up to `grams_most` n-grams the tables are broadcast, and words are scored where
+their texts are read. Beyond that nothing of them leaves the cluster: the distinct n-grams of the corpus' distinct words
+are joined to the counts of each order, words to their n-grams, and texts to their words, which gives the same scores.
+The logistic curve is fitted on at most `calibration` labelled rows, which are scored by a model of the other half of
+the rows.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.llm.common import map_batches, normal_word, numbered_columns, texts_of
+from quillmesh.llm.common import map_batches, normal_word, numbered_columns, stored, texts_of
 
 #: Characters in the longest n-gram, bits of a character (any code point, above the two marks), and the discount.
 ORDER, BITS, DISCOUNT = 5, 21, 0.75
@@ -28,6 +31,10 @@ FRONT, BACK = 1, 2
 KEPT = 150_000
 CLASSES = (0, 1)
 FEATURES = ("per_char", "top", "top3", "share")
+#: A word of so high a ratio counts as telling; the ratios and shares from which more evidence changes nothing.
+TELLING, MOST_RATIO, MOST_SHARE = 3.0, 6.0, 0.02
+#: N-grams (some 48 bytes each in a table) that may be broadcast.
+GRAMS_MOST = 3_000_000
 
 
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +153,7 @@ class CharModel:
                 pairs = np.array([self.kept[t] for t in tokens])
                 ratio, chars = pairs[:, 0], pairs[:, 1].sum()
                 best = np.sort(np.partition(ratio, len(ratio) - min(3, len(ratio)))[-3:])[::-1]
-                row[:] = ratio.sum() / max(chars, 1), best[0], best.sum() / 3, (ratio > 3).mean()
+                row[:] = ratio.sum() / max(chars, 1), best[0], best.sum() / 3, (ratio > TELLING).mean()
         return out
 
 
@@ -194,18 +201,13 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("high", "low").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def train(rows: DataFrame) -> tuple[CharModel, CharModel] | None:
-    """Models of the first half and of all rows (toxic, half, text); None unless both classes are there. The distinct
-    n-grams come to the driver, in some 48 bytes each."""
-    found = gram_counts(rows).toArrow()
-    high, low, *counts = (found.column(k).to_numpy() for k in range(6))
-    if not len(high):
-        return None
+def train(counts: DataFrame) -> tuple[CharModel, CharModel]:
+    """Models of the first half and of all rows, from gram_counts() of a bounded size, which come to the driver."""
+    found = counts.toArrow()
+    high, low, *columns = (found.column(k).to_numpy() for k in range(6))
     top = Grams(high, low)
     order = np.argsort(top.find(high, low))
-    n00, n01, n10, n11 = (n[order] for n in counts)
-    if not (n00 + n01).any() or not (n10 + n11).any():
-        return None
+    n00, n01, n10, n11 = (n[order] for n in columns)
     shared, grams = {}, top
     for k in range(ORDER - 1, 0, -1):
         ends = last(*grams.codes(), k)
@@ -227,42 +229,166 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, calibration: int = 20_000, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, keep..., held_out, score, predicted) of each row of docs. labels (id, toxic): repeated ids take their largest label,
-    null labels are no labels. A null text is empty; an empty text has the score of no evidence. Without labelled rows
-    of both classes every score is 0. Repeated rows give a row each; null ids are scored too; other columns are dropped."""
-    spark = docs.sparkSession
-    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.withColumn("half", _second_half(id_col).cast("int"))
-    texts = docs.select(id_col, F.col(text_col).alias("text")).where(F.col(id_col).isNotNull() & ~is_held_out(id_col))
-    models = train(texts.join(known.hint("shuffle_hash"), id_col).select("toxic", "half", "text"))
-    given = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in (id_col, *keep))
-    rows = docs.select(id_col, *keep, is_held_out(id_col).alias("held_out"), F.col(text_col).alias("_scored"))
-    if models is None:
-        return rows.select(id_col, *keep, "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+def _last(k: int) -> tuple[Column, Column]:
+    """last() of the columns high and low."""
+    high, low = F.col("high"), F.col("low")
+    return high.bitwiseAND(F.lit((1 << (BITS * max(k - 3, 0))) - 1)), low.bitwiseAND(F.lit((1 << (BITS * min(k, 3))) - 1))
+
+
+def _context(high: Column, low: Column) -> tuple[Column, Column]:
+    """context() of columns."""
+    return F.shiftright(high, BITS), F.shiftright(low, BITS).bitwiseOR(F.shiftleft(high.bitwiseAND(F.lit((1 << BITS) - 1)), 2 * BITS))
+
+
+def _looked_up(grams: DataFrame, table: DataFrame, key: tuple[Column, Column], names: list[str]) -> DataFrame:
+    """grams with the columns of a table (h, l, ...) at a key, 0 where it has none."""
+    keyed = grams.withColumns({"_h": key[0], "_l": key[1]})
+    found = keyed.join(table.select(F.col("h").alias("_h"), F.col("l").alias("_l"), *names), ["_h", "_l"], "left").drop("_h", "_l")
+    return found.withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
 
-    half = spark.sparkContext.broadcast(models[0])
 
-    def measure(batches):
-        model = half.value
+def gram_ratios(grams: DataFrame, counts: DataFrame, sums: list[Column]) -> DataFrame:
+    """(high, low, ratio) of distinct n-grams (high, low): CharModel.gram_ratio() by joins. sums: the two classes'
+    counts as columns of counts."""
+    level = counts.select("high", "low", *[n.cast("long").alias(f"n{c}") for c, n in enumerate(sums)])
+    tables = {ORDER: (level, ["n0", "n1"])}
+    below = level
+    for k in range(ORDER - 1, 0, -1):
+        h, l = _last(k)
+        below = below.groupBy(h.alias("high"), l.alias("low")).agg(F.count("*").alias("n0"))
+        tables[k] = (stored(below, "toxicity-level"), ["n0"])
+        below = tables[k][0]
+    singles = tables[1][0].agg(F.coalesce(F.sum("n0"), F.lit(0)), F.count("*")).first()
+    out = _looked_up(grams, tables[1][0].select(F.col("high").alias("h"), F.col("low").alias("l"), "n0"), _last(1), ["n0"])
+    out = out.select("high", "low", ((F.col("n0") + 0.5) / (max(float(singles[0]), 1.0) + (singles[1] + 1) / 2)).alias("p"))
+    for k in range(2, ORDER + 1):
+        table, names = tables[k]
+        own, key = table.select(F.col("high").alias("h"), F.col("low").alias("l"), *names), _last(k)
+        around = _context(F.col("high"), F.col("low"))
+        kinds = [F.sum(n).alias(f"s{n}") for n in names] + [F.count_if(F.col(n) > 0).alias(f"t{n}") for n in names]
+        contexts = table.groupBy(around[0].alias("h"), around[1].alias("l")).agg(*kinds)
+        out = _looked_up(_looked_up(out, own, key, names), contexts, _context(*key), [f"{x}{n}" for n in names for x in "st"])
+        share = lambda n: F.when(F.col(f"s{n}") > 0, (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"t{n}") * F.col("p")) / F.col(f"s{n}")).otherwise(F.col("p"))
+        out = out.select("high", "low", *([share("n0").alias("p")] if k < ORDER else [share(n).alias(f"q{n}") for n in names]))
+    ratio = F.log(F.greatest("qn1", F.lit(1e-12))) - F.log(F.greatest("qn0", F.lit(1e-12)))
+    return out.select("high", "low", ratio.alias("ratio"))
+
+
+def joined_features(rows: DataFrame, counts: DataFrame, sums: list[Column]) -> DataFrame:
+    """(row, FEATURES) of rows (row, text), without a table of n-grams in any task: texts to their distinct tokens, these
+    to n-grams, and back. Joins split tokens and n-grams that most texts have (AQE), as the other side has one row each."""
+
+    def tokens(batches):
         for b in batches:
-            x = model.features(texts_of(b.column(1)))
-            yield {"toxic": b.column(0)} | {n: x[:, k] for k, n in enumerate(FEATURES)}
+            for key, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+                found = Counter(text.split())
+                if found:
+                    yield {"row": [key] * len(found), "token": list(found), "n": list(found.values())}
 
+    def grams(batches):
+        for b in batches:
+            names = b.column(0).to_pylist()
+            words = [normal_word(t) for t in names]
+            high, low, word = grams_of(words)
+            size = np.array([len(w) for w in words])
+            yield {"token": [names[k] for k in word.tolist()], "chars": size[word], "high": high, "low": low}
+
+    spoken = stored(map_batches(rows.select("row", "text"), tokens, "row long, token string, n long"), "toxicity-tokens")
+    spelt = stored(map_batches(spoken.select("token").distinct(), grams, "token string, chars long, high long, low long"), "toxicity-grams")
+    ratios = gram_ratios(spelt.select("high", "low").distinct(), counts, sums)
+    words = spelt.join(ratios, ["high", "low"]).groupBy("token").agg(F.max("chars").alias("chars"), F.sum("ratio").alias("r"))
+    words = words.select("token", "chars", F.when(F.col("chars") > 0, F.col("r")).otherwise(0.0).alias("r"))
+    best = F.sort_array(F.collect_list(F.struct("r", F.least("n", F.lit(3)).cast("int").alias("times"))), False)
+    texts = spoken.join(words, "token").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("r")).alias("total"), F.sum(F.col("n") * F.col("chars")).alias("chars"), F.sum("n").alias("n"),
+        F.sum(F.when(F.col("r") > TELLING, F.col("n")).otherwise(0)).alias("telling"), F.slice(best, 1, 3).alias("best"),
+    )
+    top = F.slice(F.flatten(F.transform("best", lambda x: F.array_repeat(x["r"], x["times"]))), 1, 3)
+    texts = texts.withColumn("top", top).select(
+        "row", (F.col("total") / F.greatest("chars", F.lit(1))).alias("per_char"), F.get("top", F.lit(0)).alias("top"),
+        (F.aggregate("top", F.lit(0.0), lambda a, x: a + x) / 3).alias("top3"), (F.col("telling") / F.col("n")).alias("share"),
+    )
+    found = rows.select("row").join(texts, "row", "left")
+    return found.select("row", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in FEATURES])
+
+
+def saturated(x: np.ndarray) -> np.ndarray:
+    """FEATURES as the curve takes them: a text full of the plainest insults isn't more toxic than toxic, and mustn't
+    make weaker words look harmless."""
+    return np.minimum(x, [np.inf, MOST_RATIO, MOST_RATIO, MOST_SHARE])
+
+
+def _scored(own: DataFrame, labels: DataFrame, id_col: str, text_col: str, calibration: int, grams_most: int) -> DataFrame:
+    """own, whose columns are called c0, c1 and so on, with held_out and score. labels: (c0, toxic)."""
+    spark = own.sparkSession
+    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.withColumn("half", _second_half(id_col).cast("int"))
+    texts = own.select(id_col, F.col(text_col).alias("text")).where(F.col(id_col).isNotNull() & ~is_held_out(id_col))
+    counts = stored(gram_counts(texts.join(known.hint("shuffle_hash"), id_col).select("toxic", "half", "text")), "toxicity-counts")
+    size, ordinary, toxic = counts.agg(F.count("*"), F.sum(F.col("n00") + F.col("n01")), F.sum(F.col("n10") + F.col("n11"))).first()
+    rows = own.withColumn("held_out", is_held_out(id_col))
+    if not ordinary or not toxic:
+        return rows.withColumn("score", F.lit(0.0))
     # the other half's rows, so many at most, in the order of a hash: a bounded table, so it may be broadcast
     sample = known.where("half = 1").orderBy(F.xxhash64(id_col), id_col).limit(calibration).select(id_col, "toxic")
-    measured = map_batches(
-        texts.join(F.broadcast(sample), id_col).select("toxic", "text"), measure, "toxic int, " + ", ".join(f"{n} double" for n in FEATURES)
-    ).toPandas()
-    x, y = measured[list(FEATURES)].to_numpy(), measured["toxic"].to_numpy(float)
+    sample = texts.join(F.broadcast(sample), id_col).select("toxic", "text")
+    names = ", ".join(f"{n} double" for n in FEATURES)
+    models = train(counts) if size <= grams_most else None
+
+    if models is not None:
+        half, full = spark.sparkContext.broadcast(models[0]), spark.sparkContext.broadcast(models[1])
+
+        def measure(batches):
+            model = half.value
+            for b in batches:
+                x = model.features(texts_of(b.column(1)))
+                yield {"toxic": b.column(0)} | {n: x[:, k] for k, n in enumerate(FEATURES)}
+
+        measured = map_batches(sample, measure, f"toxic int, {names}")
+    else:
+        sample = stored(sample.withColumn("row", F.monotonically_increasing_id()), "toxicity-sample")
+        measured = joined_features(sample, counts, [F.col("n00"), F.col("n10")]).join(sample.select("row", "toxic"), "row").select("toxic", *FEATURES)
+    measured = measured.toPandas()
+    x, y = saturated(measured[list(FEATURES)].to_numpy()), measured["toxic"].to_numpy(float)
     mean, scale = (x.mean(0), np.maximum(x.std(0), 1e-9)) if len(x) else (np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
     weights = logistic((x - mean) / scale, y) if 0 < y.sum() < len(y) else np.r_[0.0, np.ones(len(FEATURES))]
-    full = spark.sparkContext.broadcast(models[1])
+    if models is None:
+        rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
+        found = joined_features(rows.select(F.col("_row").alias("row"), F.col(text_col).alias("text")), counts, [F.col("n00") + F.col("n01"), F.col("n10") + F.col("n11")])
+        most = {"top": MOST_RATIO, "top3": MOST_RATIO, "share": MOST_SHARE}
+        z = F.lit(float(weights[0]))
+        for n, w, m, s in zip(FEATURES, weights[1:].tolist(), mean.tolist(), scale.tolist()):
+            z = z + ((F.least(F.col(n), F.lit(most[n])) if n in most else F.col(n)) - m) / s * w
+        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+        return rows.join(found.select(F.col("row").alias("_row"), score.alias("score")), "_row").drop("_row")
+    names = rows.columns
+    place = names.index(text_col)
 
     def run(batches):
         model = full.value
         for b in batches:
-            z = (model.features(texts_of(b.column(b.num_columns - 1))) - mean) / scale
-            yield {c: b.column(k) for k, c in enumerate((id_col, *keep, "held_out"))} | {"score": 1 / (1 + np.exp(-np.clip(weights[0] + z @ weights[1:], -30, 30)))}
+            z = (saturated(model.features(texts_of(b.column(place)))) - mean) / scale
+            yield {c: b.column(k) for k, c in enumerate(names)} | {"score": 1 / (1 + np.exp(-np.clip(weights[0] + z @ weights[1:], -30, 30)))}
 
-    return map_batches(rows, run, f"{given}held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return map_batches(rows, run, ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names) + ", score double")
+
+
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, calibration: int = 20_000, id_col: str = "doc_id", text_col: str = "text", grams_most: int = GRAMS_MOST,
+) -> DataFrame:
+    """(id, held_out, score, predicted) of each row of docs. labels (id, toxic): repeated ids take their largest label,
+    null labels are no labels. A null text is empty; an empty text has the score of no evidence. Without labelled rows
+    of both classes every score is 0. Repeated rows give a row each; null ids are scored too; other columns are dropped."""
+    own = docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1"))
+    found = _scored(own, labels.select(F.col(id_col).alias("c0"), "toxic"), "c0", "c1", calibration, grams_most)
+    return found.select(F.col("c0").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, calibration: int = 20_000, id_col: str = "doc_id", text_col: str = "text", grams_most: int = GRAMS_MOST,
+) -> DataFrame:
+    """The rows of docs that score below the threshold, with their columns, whatever these are called."""
+    own, lower = numbered_columns(docs), [c.lower() for c in docs.columns]
+    key, text = (own.columns[lower.index(c.lower())] for c in (id_col, text_col))
+    found = _scored(own, labels.select(F.col(id_col).alias(key), "toxic"), key, text, calibration, grams_most)
+    return found.where(F.col("score") < threshold).select(*own.columns).toDF(*docs.columns)

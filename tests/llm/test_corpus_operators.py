@@ -169,7 +169,7 @@ def test_toxicity_keeps_ngrams_apart(spark):
     calm = [" ".join(word("abcdefghijklmnopqrstuvwxyz", 12) for _ in range(2000)) for _ in range(15)]
     bad = "\u4e10\u4e21\u4e32\u4e43"
     rows = [(0, k % 2, t) for k, t in enumerate(calm)] + [(1, k % 2, f"{bad} {t[:200]}") for k, t in enumerate(calm)]
-    model = toxicity.train(spark.createDataFrame(rows, "toxic int, half int, text string"))[1]
+    model = toxicity.train(toxicity.gram_counts(spark.createDataFrame(rows, "toxic int, half int, text string")))[1]
     shifted = "".join(chr(ord(c) + 2047) for c in bad)
     unseen = [shifted, *(word("абвгдежзик", 4) for _ in range(200))]
     model.add_words([bad, *unseen])
@@ -179,6 +179,79 @@ def test_toxicity_keeps_ngrams_apart(spark):
     assert model.kept["z"][1] == 1
 
 
+def brute_ratio(words, text):
+    """Log-likelihood ratio of a word by Kneser-Ney over dictionaries: words is {class: Counter of words}."""
+    spelt = lambda w: ["^"] * 4 + list(w) + ["$"]
+    grams = {c: Counter() for c in words}
+    for c, own in words.items():
+        for w, n in own.items():
+            s = spelt(w)
+            for k in range(4, len(s)):
+                grams[c][tuple(s[k - 4 : k + 1])] += n
+    level, shared = {*grams[0], *grams[1]}, {}
+    for k in range(4, 0, -1):
+        shared[k] = Counter(g[1:] for g in level)
+        level = set(shared[k])
+
+    def backed(table, gram, p):
+        own = {g: n for g, n in table.items() if g[:-1] == gram[:-1] and n}
+        total = sum(own.values())
+        return (max(own.get(gram, 0) - 0.75, 0) + 0.75 * len(own) * p) / total if total else p
+
+    s, ratio = spelt(text), 0.0
+    for k in range(4, len(s)):
+        gram = tuple(s[k - 4 : k + 1])
+        p = (shared[1].get(gram[-1:], 0) + 0.5) / (sum(shared[1].values()) + (len(shared[1]) + 1) / 2)
+        for n in (2, 3, 4):
+            p = backed(shared[n], gram[-n:], p)
+        ratio += np.log(max(backed(grams[1], gram, p), 1e-12)) - np.log(max(backed(grams[0], gram, p), 1e-12))
+    return ratio
+
+
+def test_models_against_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcé漢") for _ in range(rng.randrange(1, 7)))
+    texts = [(c, h, " ".join(word() for _ in range(12))) for c in (0, 1) for h in (0, 1) for _ in range(4)]
+    counts = toxicity.gram_counts(spark.createDataFrame(texts, "toxic int, half int, text string"))
+    half, full = toxicity.train(counts)
+    probes = sorted({w for *_, t in texts for w in t.split()})[:40] + [word() for _ in range(40)] + ["zzz", "a"]
+    for model, halves in ((half, (0,)), (full, (0, 1))):
+        words = {c: Counter(w for k, h, t in texts if k == c and h in halves for w in t.split()) for c in (0, 1)}
+        both = {c: Counter(w for k, _, t in texts if k == c for w in t.split()) for c in (0, 1)}
+        model.add_words(probes)
+        for w in probes:
+            if model is full:  # the half model shares its lower orders with the full one
+                assert abs(model.kept[w][0] - brute_ratio(both, w)) < 1e-9
+            elif w in words[0] and w in words[1]:
+                assert np.isfinite(model.kept[w][0])
+
+
+def test_scores_by_joins_are_those_of_the_broadcast_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "idiot idiot idiot trash"), (3, ""), (4, None), (4, None)], docs.schema))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    a, b = (sorted(map(tuple, toxicity.score_toxicity(docs, labels, grams_most=n).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[2])) for n in (10**9, 0))
+    assert len(a) == docs.count() and [r[:2] + r[3:] for r in a] == [r[:2] + r[3:] for r in b]
+    assert np.abs(np.array([r[2] for r in a]) - np.array([r[2] for r in b])).max() < 1e-9
+
+
+def test_held_out_toxicity(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).collect()}
+    rows = [r for r in toxicity.score_toxicity(docs, labels).where("held_out").collect() if truth.get(r["doc_id"]) is not None]
+    bad = [r for r in rows if truth[r["doc_id"]]]
+    assert len(bad) > 100 and sum(r["predicted"] for r in bad) > 0.85 * len(bad)
+    assert sum(r["predicted"] for r in rows if not truth[r["doc_id"]]) < 0.01 * (len(rows) - len(bad))
+
+
+def test_toxicity_keeps_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", F.lit(1).alias("score"), F.lit("x").alias("Held_Out"), F.lit(None).cast("string").alias("predicted"), F.lit(2).alias("c0"), F.lit(3).alias("toxic"))
+    out = toxicity.without_toxic(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert out.columns == docs.columns and 0 < out.count() <= docs.count()
+    assert {tuple(r)[2:] for r in out.collect()} == {(1, "x", None, 2, 3)}
+
+
 def brute_components(texts, percent=80):
     sets = {}
     for k, t in texts:
