@@ -15,7 +15,7 @@ from quillmesh.llm.decontamination import without_copies
 from quillmesh.llm.packing import pack
 from quillmesh.llm.pii import redacted
 from quillmesh.llm.shingle_join import one_of_each
-from quillmesh.llm.toxicity import score_toxicity
+from quillmesh.llm.toxicity import without_toxic
 
 #: The stages learn, search and align, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
@@ -23,8 +23,7 @@ ORACLE_SQL = None
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is 0.7 or more go."""
-    scored = score_toxicity(docs, q.read(spark, sf_dir, "labels"), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return scored.where("predicted = 0").select(*docs.columns)
+    return without_toxic(docs, q.read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
