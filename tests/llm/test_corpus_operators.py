@@ -427,6 +427,38 @@ def test_decontamination_of_a_part_that_leaked_widely(spark):
     assert {r["doc_id"]: (r["matches"], r["first_word"]) for r in found} == {k: (60 if k < 3 else 25, 40) for k in range(33)}
 
 
+def test_seeds_windows_and_regions_are_bounded():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        counts = rng.integers(0, 100, int(rng.integers(1, 60)))
+        keep = decontamination.chosen(counts, 10)
+        assert keep[counts <= 10].all() and (len(counts) > decontamination.FEW or keep.all())
+        assert all(keep[k : k + decontamination.STRETCH].any() for k in range(len(counts) - decontamination.STRETCH + 1))
+        size, one = int(rng.integers(1, 40)), 0
+        diagonals = np.sort(rng.integers(0, 3000, int(rng.integers(1, 200))))
+        found = list(decontamination.windows(diagonals, size, 0.5))
+        one = size + 2 * (int(size * 0.5) + 4)
+        assert all(z - a <= 4 * one for a, z in found)
+        assert all(any(a <= max(0, d - int(size * 0.5) - 4) and d + size + int(size * 0.5) + 4 <= z for a, z in found) for d in diagonals.tolist())
+        places, reach = np.unique(rng.integers(0, 50_000, int(rng.integers(1, 3000)))), int(rng.integers(1, 200))
+        pieces = list(decontamination.regions_of(places, reach, 50_000))
+        assert all(z - a <= max(decontamination.REGION, 8 * reach) for a, z in pieces)
+        assert all(any(a <= max(p - reach, 0) and min(p + reach + 1, 50_000) <= z for a, z in pieces) for p in places.tolist())
+
+
+def test_copies_of_long_items_and_in_long_texts(spark):
+    rng = random.Random(10)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    item, other = words(1500), words(40)
+    docs = [words(30) + item + words(30), words(50) + item[900:960] + words(50), words(200), (words(20) + other) * 400, words(30_000) + other]
+    df = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other)), (1, " ".join(item))], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontamination.find_copies(df, bench).collect()}
+    assert found.keys() == {(0, 1), (1, 1), (3, 2), (4, 2)}
+    assert found[4, 2]["first_word"] == 30_000 and found[4, 2]["matches"] == 40 and found[1, 1]["matches"] == 60 and found[1, 1]["first_word"] == 50
+    assert found[3, 2]["share"] == 1.0 and found[0, 1]["matches"] == decontamination.PART
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
