@@ -92,7 +92,7 @@ def canon_number(c: Column | str, hint: str | None = None) -> Column:
 
 def compare_key(c: Column | str, hint: Column | str | None = None) -> Column:
     """A text's number in base units as text, else its canonical string: equal for values that compare equal."""
-    return F.coalesce(canon_numeric(c, hint)["value"].cast("string"), canon_string(c, unicode=False))
+    return F.coalesce(F.round(canon_numeric(c, hint)["value"], 6).cast("string"), canon_string(c, unicode=False))
 
 
 def is_count_key(key: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.config import DEFAULT, Config
 from quillmesh.functions.text import brand_match, numeric_attrs, price_ratio
+from quillmesh.operators.providers import rerank
 from quillmesh.operators.aggregates import capped_members, dominant_groups, index_quartiles, modal_values, without_outliers
 
 
@@ -159,6 +160,15 @@ def anomaly_pass(decisions: DataFrame, attrs: DataFrame, conf: Config = DEFAULT)
     return joined.select("pk_id", "cluster_gid", F.when(small | far, "grey").otherwise(F.col("decision")).alias("decision"), reason.alias("reason"))
 
 
+def rerank_grey(scored: DataFrame, conf: Config = DEFAULT, name: str = "name") -> DataFrame:
+    """scored (pk_id, cluster_gid, name, revenue, sales, decision) with rerank_score, that of a grey product and its
+    cluster's best seller, and the decision that follows; a product without a cluster stays as it is."""
+    main = scored.where("cluster_gid is not null").groupBy("cluster_gid").agg(F.max_by(F.struct(F.col(name).alias("n"), "pk_id"), F.struct("revenue", "sales", -F.col("pk_id"))).alias("main"))
+    grey = scored.where("decision = 'grey'").select("pk_id", "cluster_gid", name).join(main, "cluster_gid")
+    found = grey.select("pk_id", rerank(F.col(name), F.col("main.n")).alias("rerank_score"))
+    return scored.join(found, "pk_id", "left").withColumn("decision", reranked("rerank_score", conf))
+
+
 def reranked(score: str, conf: Config = DEFAULT) -> Column:
     """The decision of a grey product by a reranker's score; a product without a score stays grey."""
     s = F.col(score)

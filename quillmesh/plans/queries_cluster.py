@@ -52,13 +52,13 @@ def knn_blocking(spark, sf_dir):
     return _knn(spark, sf_dir).select("pk_id", "other", F.round("sim", 6).alias("sim"), F.col("place").cast("long").alias("place"))
 
 
-_CODES = "codes as (select doc_id as pk_id, left(regexp_replace(text, '[^A-Za-z]', '', 'g'), 40) as code from documents)"
+_CODES = "codes as (select doc_id as pk_id, md5(text) as code from documents)"
 
 
 @query(sql("""select x.pk_id as a, y.pk_id as b, 1.0::double as weight from codes x join codes y on x.code = y.code and x.pk_id < y.pk_id
 join (select code from codes where len(code) >= 8 and not regexp_matches(code, '^0+$') and len(list_distinct(string_split(code, ''))) > 2 group by code having count(*) between 2 and 50) g on g.code = x.code""", _CODES))
 def ean_match_edges(spark, sf_dir):
-    d = tables.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("pk_id"), F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 40).alias("code"))
+    d = tables.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("pk_id"), F.md5("text").alias("code"))
     return blocking.code_edges(d, "code")
 
 
@@ -88,16 +88,16 @@ def candidate_edges(spark, sf_dir):
     return blocking.all_edges(near, blocking.brand_edges(p, existing=near)).select("a", "b", F.round("weight", 3).alias("weight"))
 
 
-@query(sql("""select count(*) as all_edges, count(*) filter (where a in (select pk_id from products) and b in (select pk_id from products)) as known,
-count(*) filter (where (a + b) % 2 = 0) as even_edges from edges""", _EDGES))
+@query(sql("""select a, b, max(weight) as weight, count(*) as sources from (select *, 'near' as s from emb union all select a, b, 0.5::double, 'niche' from niche_pairs where (a, b) not in (select (a, b) from emb)
+union all select a, b, 1.0::double, 'code' from code_pairs) group by 1, 2""", _BRAND, _EMB,
+           "niche_pairs as (select a, b from bj where overlap >= 0.4)", "code_pairs as (select x.pk_id as a, y.pk_id as b from products x join products y on x.name = y.name and x.pk_id < y.pk_id)"))
 def edge_set_ops(spark, sf_dir):
-    e = _knn_edges(spark, sf_dir)
-    known = graph.known_edges(e, tables.products(spark, sf_dir).select(F.col("pk_id").alias("node")))
-    even = e.where("(a + b) % 2 = 0")
-    odd = e.join(even.select("a", "b"), ["a", "b"], "left_anti")
-    both = even.unionByName(odd)
-    flags = both.join(known.select("a", "b", F.lit(1).alias("k")), ["a", "b"], "left")
-    return flags.agg(F.count("*").alias("all_edges"), F.count("k").alias("known"), F.count_if(F.expr("(a + b) % 2 = 0")).alias("even_edges"))
+    p = _products(spark, sf_dir)
+    near = blocking.embedding_edges(_knn(spark, sf_dir), p, least=0.2)
+    niche = blocking.brand_pairs(p, existing=near).select("a", "b", F.lit(0.5).alias("weight"))  # the difference
+    code = p.select("name", F.col("pk_id").alias("a")).join(p.select("name", F.col("pk_id").alias("b")), "name").where("a < b").select("a", "b", F.lit(1.0).alias("weight"))
+    sources = near.unionByName(niche).unionByName(code).groupBy("a", "b").agg(F.count("*").alias("sources"))
+    return blocking.all_edges(near, niche, code).join(sources, ["a", "b"]).select("a", "b", "weight", "sources")
 
 
 @query(sql("select a, b from edges where a in (select pk_id from products) and b in (select pk_id from products)", _EDGES))
@@ -144,10 +144,12 @@ def cluster_coherence(spark, sf_dir):
 
 
 @query(sql("""select a.cluster_gid, round(avg(list_cosine_similarity(a.e, b.e)), 6) as coherence from
-(select *, row_number() over (partition by cluster_gid order by pk_id) as r from vecs where pk_id % 11 <> 0) a join (select *, row_number() over (partition by cluster_gid order by pk_id) as r from vecs where pk_id % 11 <> 0) b
-on a.cluster_gid = b.cluster_gid and a.pk_id < b.pk_id where a.r <= 10 and b.r <= 10 group by 1"""))
+ov a join ov b on a.cluster_gid = b.cluster_gid and a.pk_id < b.pk_id where a.r <= 10 and b.r <= 10 group by 1""",
+           "ov as (select v.*, row_number() over (partition by v.cluster_gid order by pk_id) as r from vecs v join (select cluster_gid, max(pk_id) as judged from vecs group by 1) using (cluster_gid) where pk_id <> judged)"))
 def intra_consistency(spark, sf_dir):
-    first = aggregates.capped_members(_vectors(spark, sf_dir).where("pk_id % 11 <> 0"), "cluster_gid", 10)
+    v = _vectors(spark, sf_dir)
+    judged = v.groupBy("cluster_gid").agg(F.max("pk_id").alias("pk_id"))  # the product whose move is judged isn't asked
+    first = aggregates.capped_members(v.join(judged, ["cluster_gid", "pk_id"], "left_anti"), "cluster_gid", 10)
     return aggregates.coherence(first, "cluster_gid", "embedding").where("n > 1").select("cluster_gid", F.round("coherence", 6).alias("coherence"))
 
 
@@ -242,9 +244,9 @@ def _sims(spark, sf_dir):
     return v.join(c, "cluster_gid").select("pk_id", "cluster_gid", cosine("embedding", "centroid").alias("sim"))
 
 
-@query(sql("select pk_id, round(sim, 6) as sim, round(greatest(0.0, least(0.35, (sim - 0.2) * 0.7778)), 5) as score from sims", _CENT))
+@query(sql("select pk_id, round(sim, 6) as sim, round(greatest(0.0, least(0.35, (sim - 0.5) * 0.7778)), 5) as score from sims", _CENT))
 def embedding_score(spark, sf_dir):
-    return _sims(spark, sf_dir).select("pk_id", F.round("sim", 6).alias("sim"), F.round(scoring.embedding_score(F.col("sim") + 0.3), 5).alias("score"))
+    return _sims(spark, sf_dir).select("pk_id", F.round("sim", 6).alias("sim"), F.round(scoring.embedding_score(F.col("sim")), 5).alias("score"))
 
 
 _BS = f"""bs as (select pk_id, case when pk_id % 9 = 0 then 0.03 else case {brand_match("m.brand", "o.brand")} when 1.0 then 0.10 when 0.5 then 0.05 else 0.0 end end::double as brand_score
@@ -348,10 +350,15 @@ def small_cluster_flag(spark, sf_dir):
     return scoring.anomaly_pass(d, tables.attrs(spark, sf_dir).where("attr = 'type'")).select("pk_id", "decision")
 
 
-@query(sql("select pk_id, case when pk_id % 3 = 0 then 'ok' when pk_id % 100 / 100.0 >= 0.85 then 'ok' when pk_id % 100 / 100.0 <= 0.20 then 'quarantine' else 'grey' end as decision from products"))
+_RERANK = f"""own as (select m.* from members m join scored s using (pk_id) where s.cluster_gid is not null),
+mains as (select cluster_gid, arg_max(tokens, (revenue, sales, -pk_id)) as main_tokens from own group by 1),
+rr as (select m.pk_id, 1 / (1 + exp(-({jaccard("m.tokens", "main_tokens")} * 8 - 4))) as s from own m join mains using (cluster_gid))"""
+
+
+@query(sql("""select pk_id, case when decision = 'grey' and cluster_gid is not null and s >= 0.85 then 'ok' when decision = 'grey' and cluster_gid is not null and s <= 0.20 then 'quarantine' else decision end as decision
+from scored left join rr using (pk_id)""", *SCORE_CTES, _RERANK))
 def reranker_route(spark, sf_dir):
-    p = tables.products(spark, sf_dir).select("pk_id", F.when(F.col("pk_id") % 3 == 0, "ok").otherwise("grey").alias("decision"), (F.col("pk_id") % 100 / 100.0).alias("s"))
-    return p.select("pk_id", scoring.reranked("s").alias("decision"))
+    return scoring.rerank_grey(scored_products(spark, sf_dir)).select("pk_id", "decision")
 
 
 @query(sql("select cluster_gid, v as value, n, round(n / total, 9) as share from (select cluster_gid, v, count(*) as n, sum(count(*)) over (partition by cluster_gid) as total from (select *, row_number() over (partition by cluster_gid order by pk_id) as r from nums) where r <= 30 group by 1, 2) where n / total >= 0.4"))
@@ -372,9 +379,10 @@ def move_members(spark, sf_dir):
     return tables.assignments(spark, sf_dir).withColumn("place", F.row_number().over(w).cast("long")).where("place <= 5")
 
 
-@query(sql("select pk_id, cluster_gid, main_pk, p.name as main_name from members m join (select cluster_gid, arg_max(pk_id, (revenue, sales, -pk_id)) as main_pk from members group by 1) c using (cluster_gid) join (select pk_id as k, name from products) p on p.k = main_pk where pk_id % 4 = 0"))
+@query(sql("select pk_id, cluster_gid, main_pk, p.name as main_name from members m join (select cluster_gid, arg_max(pk_id, (revenue, sales, -pk_id)) as main_pk from members group by 1) c using (cluster_gid) join (select pk_id as k, name from products) p on p.k = main_pk where pk_id in (select pk_id from scored where decision = 'grey')", *SCORE_CTES))
 def main_name_pairs(spark, sf_dir):
     m = _members(spark, sf_dir)
     c = graph.cluster_summary(m).select("cluster_gid", "main_pk")
     names = m.select(F.col("pk_id").alias("main_pk"), F.col("name").alias("main_name"))
-    return m.where("pk_id % 4 = 0").select("pk_id", "cluster_gid").join(c, "cluster_gid").join(names, "main_pk").select("pk_id", "cluster_gid", "main_pk", "main_name")
+    grey = scored_products(spark, sf_dir).where("decision = 'grey'").select("pk_id")
+    return m.join(grey, "pk_id", "left_semi").select("pk_id", "cluster_gid").join(c, "cluster_gid").join(names, "main_pk").select("pk_id", "cluster_gid", "main_pk", "main_name")

@@ -9,6 +9,7 @@ from quillmesh.functions.text import head_noun, tokenize
 from quillmesh.functions.value import canon_number
 from quillmesh.operators import aggregates, attributes, graph, mining, review
 from quillmesh.plans.queries_cluster import SCORE_CTES, _members, _vectors, scored_products
+from quillmesh.plans.queries_scalar import HEAD
 from quillmesh.plans.registry import query
 from quillmesh.plans.sql import bands, sql
 from quillmesh.sources import sinks, tables
@@ -56,6 +57,15 @@ def pack_batches(spark, sf_dir):
     return review.pack_batches(s.select("cluster_gid", "pk_id", "signature"), 5)
 
 
+@query(sql("select cluster_gid, count(*) as members, true as once, true as fits from assignments group by 1"))
+def batch_invariants(spark, sf_dir):
+    """Each product is in one batch, and no batch is too full."""
+    b = pack_batches(spark, sf_dir)
+    sizes = b.groupBy("cluster_gid", "batch").agg(F.count("*").alias("n")).groupBy("cluster_gid").agg(F.max("n").alias("most"))
+    own = b.groupBy("cluster_gid").agg(F.count("*").alias("members"), (F.count("*") == F.count_distinct("pk_id")).alias("once"))
+    return own.join(sizes, "cluster_gid").select("cluster_gid", "members", "once", (F.col("most") <= 5).alias("fits"))
+
+
 _REPLAY = """replay as (select pk_id, cluster_gid, niche_key, tokens, case pk_id % 8 when 0 then 'ok' when 1 then 'quarantine' when 2 then 'new: Long ' when 3 then 'new:' when 4 then 'what' else 'move:K' || tgt end as decision,
   case when pk_id % 11 = 0 then 'Не совпадает размер' else 'same' end as reason, case when pk_id % 8 >= 5 then tgt end as target from (select m.*, case pk_id % 8 when 5 then cluster_gid + 1 when 6 then cluster_gid else cluster_gid + 25 end as tgt from members m)),
 cl as (select c.cluster_gid as target, c.niche_key as target_niche, m.tokens as main_tokens from (select cluster_gid, min(niche_key) as niche_key, arg_max(pk_id, (revenue, sales, -pk_id)) as main_pk from members group by 1) c join members m on m.pk_id = main_pk),
@@ -112,9 +122,9 @@ def function_majority(spark, sf_dir):
 
 
 @query(sql("""select a.pk_id, a.cluster_gid + 25 as target, case when t.fn = 'unknown' or slug is null or n < 2 then 'skip' when t.fn <> slug then 'reject' else 'confirm' end as verdict
-from assignments a join tags t using (pk_id) left join fm on fm.cluster_gid = a.cluster_gid + 25 where pk_id % 3 = 0""", _TAGS))
+from assignments a join tags t using (pk_id) left join fm on fm.cluster_gid = a.cluster_gid + 25""", _TAGS))
 def vision_gate(spark, sf_dir):
-    moves = tables.assignments(spark, sf_dir).where("pk_id % 3 = 0").select("pk_id", (F.col("cluster_gid") + 25).alias("target"))
+    moves = tables.assignments(spark, sf_dir).select("pk_id", (F.col("cluster_gid") + 25).alias("target"))
     tags = _tags(spark, sf_dir)
     return review.function_gate(moves, tags, review.functions_of_clusters(tables.assignments(spark, sf_dir), tags))
 
@@ -314,7 +324,7 @@ def number_verdict(spark, sf_dir):
     return a.join(d, "cluster_gid").select("pk_id", F.when(ratio <= 1.15, "✅").otherwise("❌").alias("verdict"))
 
 
-@query()
+@query(sql(f"select niche_key, {HEAD} as head, count(*) as products, max(len(tokens))::int as most_tokens from members group by 1, 2"))
 def head_noun_groups(spark, sf_dir):
     p = tables.products(spark, sf_dir).select("niche_key", head_noun("name").alias("head"), F.size(tokenize("name")).alias("n"))
     return p.groupBy("niche_key", "head").agg(F.count("*").alias("products"), F.max("n").alias("most_tokens"))

@@ -33,7 +33,7 @@ def numeric_attrs(spark, sf_dir):
     return tables.products(spark, sf_dir).select("pk_id", F.try_element_at(text.numeric_attrs("name"), F.lit("mm")).alias("mm"))
 
 
-@query()
+@query(sql("select pk_id, trim(regexp_replace(regexp_replace(regexp_replace(name, '[0-9]+ mm', ''), '#[0-9]+', '#', 'g'), ' +', ' ', 'g')) as t from products"))
 def strip_numbers(spark, sf_dir):
     return tables.products(spark, sf_dir).select("pk_id", text.strip_numbers("name").alias("t"))
 
@@ -61,10 +61,11 @@ def token_overlap_pairs(spark, sf_dir):
     return t.join(other, ["brand", "niche_key"]).where("a < b").select("a", "b", F.round(text.token_overlap("t", "u"), 9).alias("overlap"))
 
 
-@query(f"with b as (select distinct p_brand as brand from part) select x.brand as a, y.brand as b, {brand_match('x.brand', 'y.brand')} as m from b x join b y on left(x.brand, 6) = left(y.brand, 6) and x.brand < y.brand")
+@query(f"with b as (select distinct p_brand as brand, p_type from part) select distinct x.brand as a, y.brand as b, {brand_match('x.brand', 'y.brand')} as m from b x join b y on x.p_type = y.p_type and x.brand < y.brand")
 def brand_match_pairs(spark, sf_dir):
-    b = tables.read(spark, sf_dir, "part").select(F.col("p_brand").alias("a")).distinct().withColumn("k", F.substring("a", 1, 6))
-    return b.join(b.select("k", F.col("a").alias("b")), "k").where("a < b").select("a", "b", text.brand_match("a", "b").alias("m"))
+    b = tables.read(spark, sf_dir, "part").select("p_type", F.col("p_brand").alias("a")).distinct()
+    pairs = b.join(b.select("p_type", F.col("a").alias("b")), "p_type").where("a < b").select("a", "b").distinct()
+    return pairs.select("a", "b", text.brand_match("a", "b").alias("m"))
 
 
 @query(sql("select a.pk_id as a, b.pk_id as b, round(case when a.price > 0 and b.price > 0 then greatest(a.price / b.price, b.price / a.price) else 1.0 end, 9) as ratio from members a join members b on a.cluster_gid = b.cluster_gid and a.pk_id < b.pk_id"))
@@ -91,31 +92,38 @@ def sigmoid(spark, sf_dir):
     return tables.read(spark, sf_dir, "events").select("event_id", F.round(vector.sigmoid(F.col("value") / 100), 9).alias("s"))
 
 
-@query("""with n as (select doc_id, list_distinct(regexp_extract_all(text, '[0-9]+')) as a, list_filter(list_distinct(regexp_extract_all(text, '[0-9]+')), lambda x: len(x) between 2 and 4 and x not in ('2024', '2025', '2026')) as own from documents),
-p as (select page_id, list_distinct(regexp_extract_all(html, '[0-9]+')) as b from pages)
-select doc_id, len(own) = 0 or list_has_any(own, b) as matches, len(list_intersect(a, b))::bigint as common from n join p on doc_id % 1000 = page_id""")
+#: Each document with one of the pages, by the remainder of its id: all documents, and all pages if there are enough documents.
+_READ = """n as (select doc_id, list_distinct(regexp_extract_all(coalesce(text, ''), '[0-9]+')) as a, doc_id % (select max(page_id) + 1 from pages) as page_id from documents),
+p as (select page_id, coalesce(html, '') as html, url, list_distinct(regexp_extract_all(coalesce(html, ''), '[0-9]+')) as h, list_distinct(regexp_extract_all(url, '[0-9]+')) as u from pages),
+r as (select doc_id, a, list_filter(a, lambda x: len(x) between 2 and 4 and x not in ('2024', '2025', '2026')) as own, coalesce(html, '') as html, coalesce(url, '') as url, coalesce(h, []) as h, coalesce(u, []) as u
+  from n left join p using (page_id))"""
+
+
+def _read(spark, sf_dir):
+    pages = tables.read(spark, sf_dir, "pages").select("page_id", "html", "url")
+    count = (pages.agg(F.max("page_id")).first()[0] or 0) + 1
+    d = tables.read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % count).alias("page_id"))
+    return d.join(pages, "page_id", "left")
+
+
+@query(f"with {_READ} select doc_id, len(own) = 0 or list_has_any(own, h) as matches, len(list_intersect(a, h))::bigint as common from r")
 def ocr_number_match(spark, sf_dir):
-    d = tables.read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 1000).alias("page_id"))
-    j = d.join(tables.read(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
-    return j.select("doc_id", text.numbers_match("text", "html").alias("matches"), text.number_matches("text", "html").cast("long").alias("common"))
+    return _read(spark, sf_dir).select("doc_id", text.numbers_match("text", "html").alias("matches"), text.number_matches("text", "html").cast("long").alias("common"))
 
 
-@query("""with n as (select doc_id, list_distinct(regexp_extract_all(text, '[0-9]+')) as a from documents), p as (select page_id, list_distinct(regexp_extract_all(html, '[0-9]+')) as b from pages)
-select doc_id, list_has_any(a, b) as overlap from n join p on doc_id % 1000 = page_id""")
+@query(f"with {_READ} select doc_id, list_has_any(a, h) as overlap from r")
 def number_overlap(spark, sf_dir):
-    numbers = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit("([0-9]+)"), 1))
-    d = tables.read(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 1000).alias("page_id"), numbers("text").alias("a"))
-    return d.join(tables.read(spark, sf_dir, "pages").select("page_id", numbers("html").alias("b")), "page_id").select("doc_id", F.arrays_overlap("a", "b").alias("overlap"))
+    numbers = lambda c: F.array_distinct(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("([0-9]+)"), 1))
+    return _read(spark, sf_dir).select("doc_id", F.arrays_overlap(numbers("text"), numbers("html")).alias("overlap"))
 
 
-@query()
+@query(f"""with {_READ} select doc_id, md5(case when html = '' or len(own) = 0 or list_has_any(own, h) or url = '' then html
+when list_has_any(own, u) or len(list_intersect(a, u)) > len(list_intersect(a, h)) then url else html end) as chosen from r""")
 def ocr_choice(spark, sf_dir):
-    d = tables.read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 250).alias("page_id"))
-    j = d.join(tables.read(spark, sf_dir, "pages").select("page_id", "html", "url"), "page_id")
-    return j.select("doc_id", F.md5(text.better_reading("text", "html", "url")).alias("chosen"))
+    return _read(spark, sf_dir).select("doc_id", F.md5(text.better_reading("text", "html", "url")).alias("chosen"))
 
 
-@query("select p_partkey as pk_id, case p_partkey % 2 when 0 then (p_size * 0.001)::double::varchar else lower(p_type) end as k, case p_partkey % 3 when 0 then 'length' else 'width' end as attr from part".replace("(p_size * 0.001)::double::varchar", "'n' || round(p_size * 0.001, 6)::double"))
+@query("select p_partkey as pk_id, case p_partkey % 2 when 0 then (p_size * 0.001)::double::varchar else lower(p_type) end as k, case p_partkey % 3 when 0 then 'length' else 'width' end as attr from part".replace("(p_size * 0.001)::double::varchar", "round(p_size * 0.001, 6)::double::varchar"))
 def compare_key(spark, sf_dir):
     synonyms = spark.createDataFrame([("len", "length")], "variant string, canonical string")
     from quillmesh.operators.attributes import canonical_keys
@@ -124,9 +132,7 @@ def compare_key(spark, sf_dir):
         F.col("p_partkey").alias("pk_id"), F.when(F.col("p_partkey") % 3 == 0, "len").otherwise("width").alias("attr"),
         F.when(F.col("p_partkey") % 2 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" mm"))).otherwise(F.col("p_type")).alias("v"),
     )
-    number = value.canon_numeric("v")["value"]
-    k = F.when(number.isNotNull(), F.concat(F.lit("n"), F.round(number, 6).cast("string"))).otherwise(value.canon_string("v", unicode=False))
-    return canonical_keys(p, synonyms).select("pk_id", k.alias("k"), "attr")
+    return canonical_keys(p, synonyms).select("pk_id", value.compare_key("v").alias("k"), "attr")
 
 
 @query("select event_id, try_cast(replace(case event_id % 3 when 0 then ' 1 234.5 ' when 1 then 'n/a' else value::decimal(18,2)::varchar end, ' ', '') as double) as v from events")
@@ -182,13 +188,16 @@ def offline_embedding(spark, sf_dir):
     return d.select("doc_id", F.size("embedding").alias("dim"), F.round(vector.norm("embedding"), 6).alias("length"))
 
 
-@query()
+@query(sql(f"select a.pk_id, round(1 / (1 + exp(-({jaccard('a.tokens', 'b.tokens')} * 8 - 4))), 9) as score from members a join members b on b.pk_id = a.pk_id + 1"))
 def offline_rerank(spark, sf_dir):
     p = tables.products(spark, sf_dir).select("pk_id", "name")
     other = p.select((F.col("pk_id") - 1).alias("pk_id"), F.col("name").alias("other"))
     return p.join(other, "pk_id").select("pk_id", F.round(providers.rerank("name", "other"), 9).alias("score"))
 
 
-@query()
+HEAD = f"list_filter(string_split({norm('name')}, ' '), lambda w: len(w) >= 3 and not regexp_matches(w, '[0-9]'))[1]"
+
+
+@query(sql(f"select pk_id, {HEAD} as head from products"))
 def head_nouns(spark, sf_dir):
     return tables.products(spark, sf_dir).select("pk_id", text.head_noun("name").alias("head"))

@@ -97,10 +97,10 @@ def upsert_latest(spark, sf_dir):
     return sinks.upsert(h.where("event_id % 2 = 0"), h.where("event_id % 2 = 1"), ["pk_id"], "event_id")
 
 
-@query(sql("select l.pk_id as pk_left, r.pk_id as pk_right, l.name as name_left, r.name as name_right, 1::bigint as label from products l join products r on r.pk_id = l.pk_id + 1 where l.pk_id % 2 = 0"))
+@query(sql("select l.pk_id as pk_left, r.pk_id as pk_right, l.name as name_left, r.name as name_right, 1::bigint as label from products l join products r on r.pk_id = l.pk_id + 1"))
 def training_pair_join(spark, sf_dir):
     p = tables.products(spark, sf_dir)
-    pairs = p.where("pk_id % 2 = 0").select(F.col("pk_id").alias("pk_left"), (F.col("pk_id") + 1).alias("pk_right"), F.lit(1).cast("long").alias("label"))
+    pairs = p.select(F.col("pk_id").alias("pk_left"), (F.col("pk_id") + 1).alias("pk_right"), F.lit(1).cast("long").alias("label"))
     return tables.name_pairs(pairs, p)
 
 
@@ -129,11 +129,10 @@ def synonym_reverse_map(spark, sf_dir):
     return attributes.reverse_synonyms(attributes.merge_synonyms(groups))
 
 
-@query(sql("""select distinct brand as key from products where category_id = 1 except select brand from products where category_id = 2 and pk_id < 20"""))
+@query(sql("""select brand || floor(price)::bigint as key from products where category_id = 1 except select brand || floor(price)::bigint from products where category_id = 2"""))
 def key_difference(spark, sf_dir):
-    p = tables.products(spark, sf_dir)
-    mapped = p.where("category_id = 2 and pk_id < 20").select("brand")
-    return p.where("category_id = 1").select("brand").join(mapped, "brand", "left_anti").distinct().select(F.col("brand").alias("key"))
+    p = tables.products(spark, sf_dir).withColumn("key", F.concat("brand", F.floor("price").cast("string")))
+    return p.where("category_id = 1").select("key").join(p.where("category_id = 2").select("key"), "key", "left_anti").distinct()
 
 
 @query(sql("""select pk_id, name, niche_key from products order by (niche_key = 2) desc, pk_id * 2654435761 % 4294967296, pk_id limit 25"""))
