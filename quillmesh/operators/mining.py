@@ -3,11 +3,12 @@ portable hash, so that a run can be repeated and checked."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.config import DEFAULT, Config
-from quillmesh.functions.vector import cosine
 from quillmesh.operators.aggregates import coherence, dominant_groups, modal_values
 
 
@@ -66,13 +67,38 @@ def positive_pairs(members: DataFrame, conf: Config = DEFAULT) -> DataFrame:
     return pairs.select("pk_left", "pk_right", F.lit(1).cast("long").alias("label"), F.lit("positive").alias("type"))
 
 
-def hard_negatives(rows: DataFrame, keys: list[str], differ: str, kind: str, band: tuple[float, float], most: int | None = None) -> DataFrame:
+def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """pair_key() of arrays."""
+    own = lambda c, salt: (c + salt) % 1_000_003 * 2_654_435_761 % 4_294_967_296
+    return (own(a, 0) + own(b, 7)) % 4_294_967_296
+
+
+def hard_negatives(rows: DataFrame, keys: list[str], differ: str, kind: str, band: tuple[float, float], most: int | None = None, block: int = 1024) -> DataFrame:
     """(pk_left, pk_right, label, type, cosine): pairs of rows (pk_id, keys, differ, embedding) with equal keys whose
-    `differ` columns differ and whose cosine lies in the band; the first `most` in the shuffled order."""
-    right = rows.select(*keys, F.col("pk_id").alias("pk_right"), F.col(differ).alias("_d"), F.col("embedding").alias("_e"))
-    pairs = rows.join(right, keys).where((F.col("pk_id") < F.col("pk_right")) & (F.col(differ) != F.col("_d")))
-    found = pairs.select(F.col("pk_id").alias("pk_left"), "pk_right", F.lit(0).cast("long").alias("label"), F.lit(kind).alias("type"), cosine("embedding", "_e").alias("cosine"))
-    found = found.where(F.col("cosine").between(*band))
+    `differ` columns differ and whose cosine lies in the band; the first `most` in the shuffled order. A key's rows are
+    dealt to blocks and each pair of blocks is one task's matrix product, of which only its own first `most` leave."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("pk_id"), F.col("_blocks")).cast("int")
+    dealt = rows.select(*keys, "pk_id", F.col(differ).alias("_d"), F.transform("embedding", lambda x: x.cast("double")).alias("_v")).join(sizes, keys).withColumn("_own", own)
+    dealt = dealt.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumns({"_low": F.least("_i", "_own"), "_high": F.greatest("_i", "_own")})
+
+    def pairs(part: pd.DataFrame) -> pd.DataFrame:
+        left, right = part[part._own == part._low.iloc[0]], part[part._own == part._high.iloc[0]]
+        unit = lambda p: (m := np.stack(p._v.to_numpy())) / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+        if left.empty or right.empty:
+            return pd.DataFrame({"pk_left": [], "pk_right": [], "cosine": []})
+        sims, a, b = unit(left) @ unit(right).T, left.pk_id.to_numpy(), right.pk_id.to_numpy()
+        within = part._low.iloc[0] == part._high.iloc[0]
+        good = (sims >= band[0]) & (sims <= band[1]) & (left._d.to_numpy()[:, None] != right._d.to_numpy()[None, :])
+        i, j = np.nonzero(good & (a[:, None] < b[None, :]) if within else good & (a[:, None] != b[None, :]))
+        low, high, sims = np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), sims[i, j]
+        if most is not None:
+            first = np.lexsort((high, low, _pair_keys(low, high)))[:most]
+            low, high, sims = low[first], high[first], sims[first]
+        return pd.DataFrame({"pk_left": low, "pk_right": high, "cosine": sims})
+
+    found = dealt.groupBy(*keys, "_low", "_high").applyInPandas(pairs, "pk_left long, pk_right long, cosine double")
+    found = found.select("pk_left", "pk_right", F.lit(0).cast("long").alias("label"), F.lit(kind).alias("type"), "cosine")
     return found if most is None else found.orderBy(pair_key("pk_left", "pk_right"), "pk_left", "pk_right").limit(most)
 
 

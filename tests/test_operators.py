@@ -67,6 +67,37 @@ def test_codes(spark):
     assert edges.count() == 1 + 1225 and edges.where("a >= b").count() == 0
 
 
+def test_nearest_in_cells(spark):
+    rng = np.random.default_rng(7)
+    centers = rng.normal(size=(12, 16))
+    rows = [(k, (centers[k % 12] + 0.4 * rng.normal(size=16)).tolist()) for k in range(900)]
+    df = spark.createDataFrame(rows, "pk_id long, embedding array<double>")
+    pairs = lambda d: {(r["pk_id"], r["other"]) for r in d.collect()}
+    exact = pairs(blocking.nearest(df, 10, 0.3, block=200))
+    some = pairs(blocking.nearest_in_cells(df, 16, 4, 10, 0.3, block=50))
+    assert len(exact & some) > 0.9 * len(exact)
+    assert pairs(blocking.nearest_in_cells(df, 6, 6, 10, 0.3, block=100)) == exact
+
+
+def test_hard_negatives_in_blocks(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(120, 6))
+    df = spark.createDataFrame([(k, k % 2, k % 5, vectors[k].tolist()) for k in range(120)], "pk_id long, niche long, gid long, embedding array<double>")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = {(a, b) for a in range(120) for b in range(a + 1, 120) if a % 2 == b % 2 and a % 5 != b % 5 and 0.2 <= unit[a] @ unit[b] <= 0.9}
+    for block in (7, 1000):
+        found = [(r["pk_left"], r["pk_right"]) for r in mining.hard_negatives(df, ["niche"], "gid", "x", (0.2, 0.9), block=block).collect()]
+        assert len(found) == len(want) and set(found) == want
+        first = [(r["pk_left"], r["pk_right"]) for r in mining.hard_negatives(df, ["niche"], "gid", "x", (0.2, 0.9), 25, block).collect()]
+        assert len(first) == 25 and set(first) <= want
+
+
+def test_unfinished_components_are_an_error(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(100)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        graph.connected_components(chain, rounds=2)
+
+
 def test_edge_weight(spark):
     def weight(sim, a, b, jac, ratio):
         df = spark.createDataFrame([(a, b)], "a string, b string")
