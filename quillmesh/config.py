@@ -10,6 +10,8 @@ class Config:
     # blocking
     ean_group: tuple[int, int] = (2, 50)
     knn_k: int = 15
+    knn_cells: int = 0  # cells of the neighbour search; 0 searches all vectors
+    knn_probes: int = 8
     min_similarity: float = 0.60
     weight_ean: float = 1.0
     weight_brand_tokens: float = 0.9

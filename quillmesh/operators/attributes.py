@@ -85,6 +85,24 @@ def without_repeats(found: DataFrame, cached: DataFrame, conf: Config = DEFAULT,
     return found.join(c, same, "left_anti")
 
 
+def extract_all(products: DataFrame, known: DataFrame, schemas: DataFrame | None = None, readings: DataFrame | None = None, conf: Config = DEFAULT) -> DataFrame:
+    """(pk_id, attr, value_num, value_str, unit, is_numeric, priority, label) of products (pk_id, niche_key, name): the
+    known attributes, then what a schema (niche_key, separators) finds in the name and the reading (pk_id, ocr_text) of
+    the image, without numbers that repeat a known one under another name."""
+    names = ["pk_id", "attr", "value_num", "value_str", "unit", "is_numeric", "priority", "label"]
+    own = known.join(products.select("pk_id"), "pk_id", "left_semi").select(*names)
+    if schemas is None:
+        return own
+    texts = products.select("pk_id", "niche_key", "name")
+    text = F.col("name")
+    if readings is not None:
+        texts, text = texts.join(readings.select("pk_id", "ocr_text"), "pk_id", "left"), F.concat_ws(" ", "name", "ocr_text")
+    found = extract(texts.select("pk_id", "niche_key", text.alias("text")), schemas).select(*names)
+    sized = lambda d: d.withColumns({"value": F.col("value_num"), "dimension": F.coalesce("unit", F.lit(""))})
+    numeric = without_repeats(sized(found.where("is_numeric")), sized(own.where("is_numeric")).select("pk_id", "attr", "value", "dimension"), conf)
+    return merge(own, numeric.select(*names).unionByName(found.where("not is_numeric"))).select(*names)
+
+
 def normal_value() -> Column:
     """A first-priority value as text: on its tolerance's grid, or in lower case."""
     return F.coalesce(bucket("value_num", "tolerance").cast("string"), F.lower(F.trim("value_str")))

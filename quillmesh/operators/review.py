@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from quillmesh.config import DEFAULT, Config
 from quillmesh.functions.text import contradicts, words_only
-from quillmesh.operators.aggregates import capped_members, dominant_groups
+from quillmesh.functions.vector import cosine
+from quillmesh.operators.aggregates import capped_members, centroid_vectors, centroids, coherence, dominant_groups
 from quillmesh.sources.tables import numbered
 
 
@@ -91,6 +92,52 @@ def splits(outcomes: DataFrame, first_gid: int, conf: Config = DEFAULT) -> DataF
     return s.join(sizes, ["cluster_gid", "label"]).join(named, ["cluster_gid", "label"], "left").select("pk_id", "cluster_gid", "label", "n", "new_gid")
 
 
+def settled(rows: DataFrame, outcomes: DataFrame, answers: DataFrame, first_gid: int, conf: Config = DEFAULT) -> DataFrame:
+    """rows (pk_id, cluster_gid, decision, reason, ...) after arbitration: guarded() outcomes decide grey products. Moves
+    take their target, splits of enough products a new cluster of their own (smaller ones stay), and the answer's
+    reason and the guard that spoke are added."""
+    new = splits(outcomes, first_gid, conf).select("pk_id", "new_gid")
+    o = outcomes.select("pk_id", "outcome", "target", "guard").join(new, "pk_id", "left").join(answers.select("pk_id", F.coalesce("reason", F.lit("")).alias("answer")), "pk_id", "left")
+    j = rows.join(o, "pk_id", "left")
+    split = (F.col("outcome") == "split") & F.col("new_gid").isNotNull()
+    heard = F.coalesce((F.col("decision") == "grey") & (F.col("outcome") != "unchanged"), F.lit(False))
+    decision = F.when(~heard, F.col("decision")).when((F.col("outcome") == "move") | split, "move").when(F.col("outcome") == "split", "ok").otherwise(F.col("outcome"))
+    gid = F.when(heard & (F.col("outcome") == "move"), F.col("target")).when(heard & split, F.col("new_gid")).otherwise(F.col("cluster_gid"))
+    note = F.concat_ws(" ", F.nullif(F.col("answer"), F.lit("")), F.concat(F.lit("[GUARD] "), F.col("guard")))
+    reason = F.when(~heard | (note == ""), F.col("reason")).otherwise(F.concat_ws(" | ", F.nullif(F.col("reason"), F.lit("")), note))
+    return j.withColumns({"decision": decision, "cluster_gid": gid, "reason": reason}).select(*rows.columns)
+
+
+def quarantined(rows: DataFrame, verdicts: DataFrame, tag: str) -> DataFrame:
+    """rows whose verdict (pk_id, verdict) begins with reject go to quarantine, with the verdict in their reason."""
+    j = rows.join(verdicts.select("pk_id", "verdict"), "pk_id", "left")
+    bad = F.coalesce((F.col("decision") == "move") & F.col("verdict").startswith("reject"), F.lit(False))
+    reason = F.concat_ws(" | ", F.nullif(F.col("reason"), F.lit("")), F.concat(F.lit(f"[{tag}] "), F.col("verdict")))
+    return j.withColumns({"reason": F.when(bad, reason).otherwise(F.col("reason")), "decision": F.when(bad, "quarantine").otherwise(F.col("decision"))}).drop("verdict")
+
+
+def image_pairs(moves: DataFrame, members: DataFrame, images: DataFrame, attrs: DataFrame, most: int = 5) -> DataFrame:
+    """The input of image_gate() for moves (pk_id, source, target): cosines of the product's image (pk_id, image) with
+    the mean images of the first members of both clusters without the product, how alike these members' images are, and
+    the distance of its numbers to both clusters' medians. Products and clusters without images are left out."""
+    sides = moves.select("pk_id", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("cluster_gid")) for s in ("source", "target")])).alias("x")).select("pk_id", "x.*")
+    first = capped_members(members.select("cluster_gid", "pk_id"), "cluster_gid", most + 1).withColumnRenamed("pk_id", "member")
+    others = sides.join(first, "cluster_gid").where("member <> pk_id").withColumn("key", F.struct("pk_id", "side"))
+    others = capped_members(others, "key", most, "member")
+    seen = others.join(images.select(F.col("pk_id").alias("member"), "image"), "member")
+    mean = centroid_vectors(centroids(seen, "key", "image"), "key")
+    sims = mean.select("key.pk_id", "key.side", "centroid").join(images, "pk_id").select("pk_id", "side", cosine("image", "centroid").alias("sim"))
+    alike = coherence(seen, "key", "image").select("key.pk_id", "key.side", F.when(F.col("n") > 1, F.col("coherence")).alias("coherence"))
+    numbers = attrs.where("is_numeric and priority <= 2 and value_num is not null").select("pk_id", "attr", "value_num")
+    known = others.select("pk_id", "side", "member").join(numbers.withColumnRenamed("pk_id", "member"), "member")
+    medians = known.groupBy("pk_id", "side", "attr").agg(F.sort_array(F.collect_list("value_num")).alias("v")).where(F.size("v") >= 2)  # of `most` members at most
+    medians = medians.select("pk_id", "side", "attr", F.get("v", F.floor(F.size("v") / 2).cast("int")).alias("median"))
+    far = medians.join(numbers, ["pk_id", "attr"]).where("value_num > 0 and median > 0").groupBy("pk_id", "side").agg(F.sum(F.abs(F.log(F.col("value_num") / F.col("median")))).alias("distance"))
+    both = sims.join(alike, ["pk_id", "side"], "left").join(far, ["pk_id", "side"], "left")
+    at = lambda c, s: F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{c}_{s}")
+    return both.groupBy("pk_id").agg(*[at(c, s) for c in ("sim", "coherence", "distance") for s in ("source", "target")]).where("sim_source is not null and sim_target is not null")
+
+
 def functions_of_clusters(members: DataFrame, tags: DataFrame) -> DataFrame:
     """(cluster_gid, slug, n): the modal function of the first five members' tags (pk_id, function), unknown ones aside;
     of equals the smallest."""

@@ -166,7 +166,11 @@ def rerank_grey(scored: DataFrame, conf: Config = DEFAULT, name: str = "name") -
     main = scored.where("cluster_gid is not null").groupBy("cluster_gid").agg(F.max_by(F.struct(F.col(name).alias("n"), "pk_id"), F.struct("revenue", "sales", -F.col("pk_id"))).alias("main"))
     grey = scored.where("decision = 'grey'").select("pk_id", "cluster_gid", name).join(main, "cluster_gid")
     found = grey.select("pk_id", rerank(F.col(name), F.col("main.n")).alias("rerank_score"))
-    return scored.join(found, "pk_id", "left").withColumn("decision", reranked("rerank_score", conf))
+    j = scored.join(found, "pk_id", "left").withColumn("_routed", reranked("rerank_score", conf))
+    if "reason" in scored.columns:
+        tag = F.concat(F.lit("[RERANK="), F.format_number("rerank_score", 3), F.lit("]"), F.when(F.col("_routed") == "grey", "").otherwise(F.concat(F.lit(" auto-"), F.col("_routed"))))
+        j = j.withColumn("reason", F.concat_ws(" | ", F.nullif(F.col("reason"), F.lit("")), tag))
+    return j.withColumn("decision", F.col("_routed")).drop("_routed")
 
 
 def reranked(score: str, conf: Config = DEFAULT) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.config import DEFAULT
 
+#: The columns of the review queue.
 MOVES_SCHEMA = (
     "pk_id long, nm_id long, product_name string, old_cluster long, new_cluster long, target_action string, new_cluster_title string, niche_key_int long, "
     "reason string, status string, created_by string, reviewed_by string, confidence_score float, anomaly_flags int, idempotency_key string, "
@@ -34,9 +35,17 @@ def review_rows(moves: DataFrame) -> DataFrame:
     return cut.withColumns({"confidence_score": F.round(F.col("confidence_score").cast("double"), 4), "anomaly_flags": F.col("anomaly_flags").cast("int").bitwiseAND(255)})
 
 
+def queue_rows(moves: DataFrame) -> DataFrame:
+    """review_rows() with all columns of the queue in their types: reviewer, reasons of rejection and the time of a
+    review are null until there is one."""
+    rows = review_rows(moves).withColumn("created_at", F.current_timestamp())
+    kinds = [f.split() for f in MOVES_SCHEMA.split(", ")]
+    return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds])
+
+
 def write_moves(moves: DataFrame, path: str, replace: bool = False) -> None:
     """Appends to the review queue (or starts it anew), sorted for readers that look up a cluster."""
-    review_rows(moves).sortWithinPartitions("old_cluster", "pk_id").write.mode("overwrite" if replace else "append").parquet(path)
+    queue_rows(moves).sortWithinPartitions("old_cluster", "pk_id").write.mode("overwrite" if replace else "append").parquet(path)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:

@@ -143,6 +143,32 @@ def first_that_exists(spark: SparkSession, *paths: str) -> DataFrame | None:
     return None
 
 
+SEPARATORS = "array<struct<attr:string,regex:string,unit:string,unit_factor:map<string,double>,numeric:boolean,priority:int,label:string,tolerance:double>>"
+#: The files that a job may find beside its tables, and their columns.
+FILES = {
+    "schemas": f"niche_key long, category_id long, separators {SEPARATORS}",
+    "weights": "category_id long, attr string, block boolean, type string, uniformity double, n_clusters long",
+    "thresholds": "category_id long, niche_key long, score_ok double",
+    "synonyms": "canonical string, variants array<string>",
+    "functions": "category_id long, slug string",
+}
+
+
+def file_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A JSON file of FILES below path, with its columns (a line each row); an empty table if there is none, and rows
+    that can't be read are left out."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], FILES[name])
+    return spark.read.schema(FILES[name]).option("mode", "DROPMALFORMED").json(f"{path}/{name}")
+
+
+def table_or_none(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """An optional Parquet table of a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}.parquet")
+    return read(spark, path, name) if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where) else None
+
+
 def training_pairs(spark: SparkSession, path: str, products: DataFrame) -> DataFrame:
     """Labelled text pairs of a pair file; pairs with a product that has no name are dropped."""
     pairs = spark.read.option("header", True).schema("pk_left long, pk_right long, label int, type string, cosine double").csv(path)

@@ -282,6 +282,63 @@ def test_jobs_run_and_highlight_is_idempotent(spark, tmp_path):
         pipelines.scope(spark, SF, None, None)
 
 
+def golden_inputs(spark, tmp_path):
+    """Two clusters of one type whose sizes differ, hand-made so that each stage of a review changes a row."""
+    part = [(k, "red steel pipe", "Brand#1", "PIPE", 10 if k < 12 else 11, 100.0) for k in range(14)]
+    part += [(k, "blue garden hose", "Brand#2", "PIPE", 50, 100.0) for k in range(20, 32)] + [(40, "red steel pipe", "Brand#1", "PIPE", 50, 100.0), (41, "red steel pipe", "Brand#1", "PIPE", 10, 900.0)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(r[0], 1.0, float(100 - r[0])) for r in part], "l_partkey long, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    readings = spark.createDataFrame([(0, "Wall 3 mm", '{"wall": 3}')], "pk_id long, ocr_text string, ocr_attrs string")
+    separators = [("color", "^(red|blue)", "", None, False, 2, "Color", None)]
+    schemas = spark.createDataFrame([(1, None, separators)], tables.FILES["schemas"])
+    weights = spark.createDataFrame([(c, "size", True, "numeric") for c in (1, 2, 3)], "category_id long, attr string, block boolean, type string")
+    return str(tmp_path), readings, schemas, weights
+
+
+def test_each_stage_of_a_review_changes_rows(spark, tmp_path):
+    path, readings, schemas, weights = golden_inputs(spark, tmp_path)
+    p = pipelines.scope(spark, path, None, 1)
+    old = tables.assignments(spark, path)
+    full = pipelines.Given(readings, schemas, weights)
+    attrs = pipelines.attributes_of(p, pipelines.known_attrs(spark, path), full)
+    found = {(r["pk_id"], r["attr"]) for r in attrs.collect()}
+    assert (0, "wall") in found and (40, "color") in found and len([x for x in found if x[1] == "size"]) == p.count()
+    plain, blocked = (pipelines.scored(p, old, attrs, True, g) for g in (pipelines.Given(), full))
+    reasons = {r["pk_id"]: r["reason"] for r in blocked.collect()}
+    assert "АТРИБУТ-БЛОКЕР" in reasons[40] and not any("АТРИБУТ" in r["reason"] for r in plain.collect())
+    red, blue = (old.where(f"pk_id = {k}").first()["cluster_gid"] for k in (0, 20))
+    answers = {40: (f"move:K{blue}", "size of the hose", 0.9), 12: ("new:", "", 0.5), 13: ("quarantine", "odd", 0.8), 3: (f"move:{blue}", "looks alike", 0.9)}
+    grey = blocked.withColumns({"decision": F.when(F.col("pk_id").isin(3, 12, 13, 40), "grey").otherwise(F.col("decision")), "name": F.when(F.col("pk_id").isin(3, 12, 13, 40), F.concat("name", F.lit(" hose garden blue kit set new extra"))).otherwise(F.col("name"))})
+    grey = tables.saved(grey.withColumn("tokens", F.split("name", " ")))
+    arbiter = lambda rows: rows.sparkSession.createDataFrame([(k, *a) for k, a in answers.items()], "pk_id long, decision string, reason string, confidence double")
+    run = lambda **x: {r["pk_id"]: r for r in pipelines.arbitrated(grey, attrs, pipelines.Given(arbiter=arbiter, **x), 900_000).collect()}
+    settled = run()
+    assert "RERANK" in settled[40]["reason"]
+    assert (settled[40]["decision"], settled[40]["cluster_gid"]) == ("move", blue)
+    assert (settled[13]["decision"], settled[12]["decision"]) == ("quarantine", "quarantine") and "label" in settled[12]["reason"]
+    assert settled[3]["decision"] == "quarantine" and "numbers" in settled[3]["reason"]  # 10 mm doesn't go to 50 mm
+    tags = spark.createDataFrame([(40, "pipe")] + [(k, "hose") for k in range(20, 26)], "pk_id long, function string")
+    gated = run(tags=tags)
+    assert gated[40]["decision"] == "quarantine" and "FUNCTION" in gated[40]["reason"]
+    images = spark.createDataFrame([(k, [1.0, 0.1 * (k % 3)]) for k in [*range(6), 40]] + [(k, [0.1 * (k % 3), 1.0]) for k in range(20, 26)], "pk_id long, image array<double>")
+    seen = run(images=images)
+    assert seen[40]["decision"] == "quarantine" and "IMAGE" in seen[40]["reason"]
+    without = pipelines.arbitrated(grey, attrs, pipelines.Given(arbiter=None), 900_000)
+    assert without.where("decision = 'move'").count() == 0
+
+
+def test_runs_are_numbered_and_kept(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 400_001, 0.5, 1, 2)], "pk_id long, cluster_gid long, score double, main_product int, niche_key long")
+    for _ in range(2):
+        written = tables.table_or_none(spark, str(tmp_path), "assignments")
+        history = spark.createDataFrame([], "run_id long") if written is None else written
+        sinks.write_assignments(rows, f"{tmp_path}/assignments.parquet", sinks.next_run_id(history).first()["next_run_id"])
+    assert sorted(r["run_id"] for r in spark.read.parquet(f"{tmp_path}/assignments.parquet").collect()) == [100, 101]
+    assert tables.file_or_empty(spark, str(tmp_path), "weights").count() == 0
+    sinks.write_json(pipelines.thresholds(spark, SF), f"{tmp_path}/thresholds")
+    assert tables.file_or_empty(spark, str(tmp_path), "thresholds").where("niche_key is null").count() > 0
+
+
 def test_streaming(spark, tmp_path):
     from quillmesh.streaming.incremental import score_stream
 
