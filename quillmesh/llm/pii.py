@@ -222,16 +222,16 @@ def find_personal_data(docs: DataFrame, threshold: float = 0.5, id_col: str = "d
     """(id, base, found): base and found (all spans) are arrays of (start, stop, kind) in code points. A null text is
     empty and has no spans; null ids and repeated rows give a row each; other columns are dropped; an empty table gives
     no rows."""
-    found = _spans(docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1")), "c1", threshold)
+    found = _spans(docs.select(F.col(id_col).alias("c0"), F.col(text_col).alias("c1")), "c1", ["c0"], threshold)
     return found.select(F.col("c0").alias(id_col), "base", "found")
 
 
-def _spans(docs: DataFrame, text_col: str, threshold: float = 0.5) -> DataFrame:
-    """docs, whose columns are called c0, c1 and so on, with base and found."""
+def _spans(docs: DataFrame, text_col: str, names: list[str], threshold: float = 0.5) -> DataFrame:
+    """The named columns of docs, whose columns are called c0, c1 and so on, with base and found."""
     span = "struct<start:int,stop:int,kind:string"
-    names = docs.columns
     given = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
-    place = names.index(text_col)
+    columns = docs.columns
+    place = columns.index(text_col)
 
     def scan(batches):
         for b in batches:
@@ -240,7 +240,7 @@ def _spans(docs: DataFrame, text_col: str, threshold: float = 0.5) -> DataFrame:
                 spans = base_spans(text)
                 base.append([{"start": s, "stop": e, "kind": k} for s, e, k in spans])
                 more.append([{"start": s, "stop": e, "kind": k, "votes": list(v)} for s, e, k, v in candidates(text, spans)])
-            yield {c: b.column(i) for i, c in enumerate(names)} | {"base": base, "more": more}
+            yield {c: b.column(columns.index(c)) for c in names} | {"base": base, "more": more}
 
     scanned = stored(map_batches(docs, scan, f"{given}, base array<{span}>>, more array<{span},votes:array<int>>>"), "pii-spans")
     # a bounded table: kinds x 3^labelers vote patterns x 9 length classes
@@ -307,4 +307,4 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 columns[chars] = [n if t is None else len(t) for n, t in zip(columns[chars].to_pylist(), texts)]
             yield columns
 
-    return map_batches(_spans(own, text).select(*names, "found"), run, given).toDF(*docs.columns)
+    return map_batches(_spans(own, text, names).select(*names, "found"), run, given).toDF(*docs.columns)
