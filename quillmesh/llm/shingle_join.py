@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm.common import map_batches, mix64, stored, texts_of
+from quillmesh.operators.graph import connected_components
 
 U = np.uint64
 #: Partitions that a set is tried under, and the share of segments beyond H + 1 that are ranked out.
@@ -354,26 +355,8 @@ def _shared_keys(signatures: DataFrame, partitions: int) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root): the smallest node that each node of edges (a, b) reaches. Alternates large-star and small-star
-    steps; every round's edges are written to the shared folder, and no node gets a list of its neighbours."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    last = None
-    for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_low, "a")
-        edges = stored(
-            small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct(), "edges"
-        )
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == last:
-            break
-        last = state
-    else:
-        raise RuntimeError(f"the components still change after {rounds} rounds; give more")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    """(node, root): the smallest node that each node of edges (a, b) reaches, itself included."""
+    return connected_components(edges, rounds=rounds).withColumnRenamed("component", "root")
 
 
 def _by_key(rows: DataFrame, key: str, fn, schema: str) -> DataFrame:
@@ -432,8 +415,7 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         edges = list(bitmap_tree(sizes, [np.frombuffer(x, np.uint8) for x in _column(parts, 3)], percent))
         return {"a": own[[e[0] for e in edges]], "b": own[[e[1] for e in edges]]} if edges else None
 
-    near = components(_by_key(shared, "task", tree, "a long, b long"))
-    near = stored(near.unionByName(near.select(F.col("root").alias("node"), "root")).distinct(), "candidates")
+    near = stored(components(_by_key(shared, "task", tree, "a long, b long")), "candidates")
 
     # the sets of candidates, made again from their documents' texts
     wanted = near.join(distinct.select("hash", "doc", "size"), near["node"] == distinct["hash"]).select("doc", "hash", "root", "size")
@@ -451,9 +433,7 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
             if rows:
                 yield dict(zip(("root", "hash", "weight", "elements"), zip(*rows)))
 
-    verified = _verified(stored(map_batches(again, sets, "root long, hash long, weight long, elements binary"), "candidate-sets"), percent)
-    final = components(verified)
-    final = final.unionByName(final.select(F.col("root").alias("node"), "root")).distinct()
+    final = components(_verified(stored(map_batches(again, sets, "root long, hash long, weight long, elements binary"), "candidate-sets"), percent))
     classes = distinct.select("hash", "doc", "n").join(final, F.col("hash") == F.col("node"), "left").where("n > 1 or root is not null").select("hash", "doc", F.coalesce("root", "hash").alias("root"))
     lowest = classes.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = classes.join(lowest, "root").select("hash", "component_id")
