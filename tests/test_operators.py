@@ -176,17 +176,6 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {got[k] for k in range(201)} == {0} and {got[k] for k in range(1000, 1300)} == {1000}
 
 
-@pytest.mark.parametrize("hubs,degree", [(10_000, 256), (10, 3), (1, 0)])
-def test_least_neighbours_of_hubs_and_others(spark, hubs, degree):
-    rng = np.random.default_rng(5)
-    pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 40, 300) ** 2 // 40, rng.integers(0, 500, 300))})
-    least = {}
-    for a, b in pairs:
-        least[a] = min(least.get(a, b), b)
-    got = graph.with_least(spark.createDataFrame(pairs, "a long, b long"), len(pairs), hubs, degree)
-    assert sorted(map(tuple, got.select("a", "b", "m").collect())) == [(a, b, least[a]) for a, b in pairs]
-
-
 def test_nearest_in_blocks(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(60, 8))
