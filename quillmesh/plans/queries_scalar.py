@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillmesh.functions import text, value, vector
-from quillmesh.operators import providers
+from quillmesh.operators import pairs, providers
 from quillmesh.plans.registry import query
 from quillmesh.plans.sql import brand_match, jaccard, norm, sql
 from quillmesh.sources import tables
@@ -70,9 +70,8 @@ def brand_match_pairs(spark, sf_dir):
 
 @query(sql("select a.pk_id as a, b.pk_id as b, round(case when a.price > 0 and b.price > 0 then greatest(a.price / b.price, b.price / a.price) else 1.0 end, 9) as ratio from members a join members b on a.cluster_gid = b.cluster_gid and a.pk_id < b.pk_id"))
 def price_ratio_pairs(spark, sf_dir):
-    m = tables.products(spark, sf_dir).join(tables.assignments(spark, sf_dir), "pk_id").select("cluster_gid", F.col("pk_id").alias("a"), "price")
-    other = m.select("cluster_gid", F.col("a").alias("b"), F.col("price").alias("p"))
-    return m.join(other, "cluster_gid").where("a < b").select("a", "b", F.round(text.price_ratio("price", "p"), 9).alias("ratio"))
+    m = tables.products(spark, sf_dir).join(tables.assignments(spark, sf_dir), "pk_id")
+    return pairs.pairs_within(m, ["cluster_gid"], "pk_id", F.col("price"), pairs.price_ratios, "ratio")
 
 
 @query(sql("select a.pk_id as a, b.pk_id as b, round(list_cosine_similarity(a.e, b.e), 6) as sim from vecs a join vecs b on a.niche_key = b.niche_key and a.pk_id < b.pk_id"))

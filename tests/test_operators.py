@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillmesh.functions import text as text_functions
 from quillmesh.functions.text import same_brand
-from quillmesh.operators import aggregates, attributes, blocking, graph, mining, providers, review, scoring
-from quillmesh.plans import pipelines
+from quillmesh.operators import aggregates, attributes, blocking, graph, mining, pairs, providers, review, scoring
+from quillmesh.plans import catalogue, pipelines
 from quillmesh.sources import sinks, tables
 
 SF = "/root/testdata/sf0.001"
@@ -92,6 +93,33 @@ def test_hard_negatives_in_blocks(spark):
         assert len(first) == 25 and set(first) <= want
 
 
+def by_join(df, score):
+    """Every pair of a key by a join of the rows, as the pair queries once made them."""
+    x, y = df.select("k", F.col("pk_id").alias("a"), F.col("v").alias("x")), df.select("k", F.col("pk_id").alias("b"), F.col("v").alias("y"))
+    return x.join(y, "k").where("a < b").select("a", "b", score(F.col("x"), F.col("y")).alias("s"))
+
+
+def same_rows(found, want):
+    text = lambda d: sorted((r["a"], r["b"], None if r["s"] is None else str(round(r["s"], 9) + 0.0)) for r in d.collect())
+    rows = text(found)
+    assert rows == text(want) and rows
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_price_ratios_in_blocks(spark, block):
+    prices = [None, 0.0, -1.0, float("nan"), float("inf"), 900.0, 900.0, 1899.0, 0.1, 1e-300, *map(float, range(1, 30))]
+    df = spark.createDataFrame([(k, k % 2 if k else None, v) for k, v in enumerate(prices * 2)], "pk_id long, k long, v double")
+    found = pairs.pairs_within(df, ["k"], "pk_id", F.col("v"), pairs.price_ratios, "s", block)
+    same_rows(found, by_join(df, lambda x, y: F.round(text_functions.price_ratio(x, y), 9)))
+    assert pairs.pairs_within(df.where("false"), ["k"], "pk_id", F.col("v"), pairs.price_ratios, "s").count() == 0
+
+
+@pytest.mark.parametrize("name, score", [("price_ratio_pairs", "greatest")])
+def test_pair_queries_score_blocks(spark, name, score):
+    plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and score not in plan
+
+
 def test_unfinished_components_are_an_error(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(100)], "a long, b long")
     with pytest.raises(RuntimeError):
