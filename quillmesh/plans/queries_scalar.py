@@ -56,9 +56,7 @@ def canon_string(spark, sf_dir):
 
 @query(sql(f"select a.pk_id as a, b.pk_id as b, round({jaccard('a.tokens', 'b.tokens')}, 9) as overlap from members a join members b on a.brand = b.brand and a.niche_key = b.niche_key and a.pk_id < b.pk_id"))
 def token_overlap_pairs(spark, sf_dir):
-    t = tables.products(spark, sf_dir).select("brand", "niche_key", F.col("pk_id").alias("a"), text.tokenize("name").alias("t"))
-    other = t.select("brand", "niche_key", F.col("a").alias("b"), F.col("t").alias("u"))
-    return t.join(other, ["brand", "niche_key"]).where("a < b").select("a", "b", F.round(text.token_overlap("t", "u"), 9).alias("overlap"))
+    return pairs.pairs_within(tables.products(spark, sf_dir), ["brand", "niche_key"], "pk_id", text.tokenize("name"), pairs.token_overlaps, "overlap")
 
 
 @query(f"with b as (select distinct p_brand as brand, p_type from part) select distinct x.brand as a, y.brand as b, {brand_match('x.brand', 'y.brand')} as m from b x join b y on x.p_type = y.p_type and x.brand < y.brand")

@@ -114,7 +114,16 @@ def test_price_ratios_in_blocks(spark, block):
     assert pairs.pairs_within(df.where("false"), ["k"], "pk_id", F.col("v"), pairs.price_ratios, "s").count() == 0
 
 
-@pytest.mark.parametrize("name, score", [("price_ratio_pairs", "greatest")])
+@pytest.mark.parametrize("block", [3, 1000])
+def test_token_overlaps_in_blocks(spark, block):
+    rng = random.Random(3)
+    lists = [None, [], ["a"], ["a", "a", "b"], *[[rng.choice("abcdefg") for _ in range(rng.randrange(6))] for _ in range(40)]]
+    df = spark.createDataFrame([(k, k % 2, v) for k, v in enumerate(lists)], "pk_id long, k long, v array<string>")
+    found = pairs.pairs_within(df, ["k"], "pk_id", F.col("v"), pairs.token_overlaps, "s", block)
+    same_rows(found, by_join(df, lambda x, y: F.round(text_functions.token_overlap(x, y), 9)))
+
+
+@pytest.mark.parametrize("name, score", [("price_ratio_pairs", "greatest"), ("token_overlap_pairs", "array_union")])
 def test_pair_queries_score_blocks(spark, name, score):
     plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and score not in plan
