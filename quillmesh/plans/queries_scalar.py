@@ -74,8 +74,8 @@ def price_ratio_pairs(spark, sf_dir):
 
 @query(sql("select a.pk_id as a, b.pk_id as b, round(list_cosine_similarity(a.e, b.e), 6) as sim from vecs a join vecs b on a.niche_key = b.niche_key and a.pk_id < b.pk_id"))
 def cosine_pairs(spark, sf_dir):
-    v = tables.read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("a"), (F.col("vec_id") % 7).alias("k"), F.col("embedding").alias("e"))
-    return v.join(v.select("k", F.col("a").alias("b"), F.col("e").alias("f")), "k").where("a < b").select("a", "b", F.round(vector.cosine("e", "f"), 6).alias("sim"))
+    v = tables.read(spark, sf_dir, "embeddings").withColumn("k", F.col("vec_id") % 7)
+    return pairs.pairs_within(v, ["k"], "vec_id", F.col("embedding"), pairs.cosines, "sim")
 
 
 @query(sql("select pk_id, round(list_sum(list_transform(e, lambda x: x * x / (list_sum(list_transform(e, lambda y: y * y))))), 6) as length, round(e[1] / sqrt(list_sum(list_transform(e, lambda y: y * y))), 6) as first from vecs"))

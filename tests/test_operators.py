@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmesh.functions import text as text_functions
+from quillmesh.functions import vector
 from quillmesh.functions.text import same_brand
 from quillmesh.operators import aggregates, attributes, blocking, graph, mining, pairs, providers, review, scoring
 from quillmesh.plans import catalogue, pipelines
@@ -123,7 +124,16 @@ def test_token_overlaps_in_blocks(spark, block):
     same_rows(found, by_join(df, lambda x, y: F.round(text_functions.token_overlap(x, y), 9)))
 
 
-@pytest.mark.parametrize("name, score", [("price_ratio_pairs", "greatest"), ("token_overlap_pairs", "array_union")])
+@pytest.mark.parametrize("block", [3, 1000])
+def test_cosines_in_blocks(spark, block):
+    rng = np.random.default_rng(4)
+    vectors = [None, [], [0.0] * 4, [1.0, None, 1.0, 1.0], [1.0, 2.0], *rng.normal(size=(40, 4)).tolist()]
+    df = spark.createDataFrame([(k, k % 2, v) for k, v in enumerate(vectors)], "pk_id long, k long, v array<double>")
+    found = pairs.pairs_within(df, ["k"], "pk_id", F.col("v"), pairs.cosines, "s", block)
+    same_rows(found, by_join(df, lambda x, y: F.round(vector.cosine(x, y), 6)))
+
+
+@pytest.mark.parametrize("name, score", [("price_ratio_pairs", "greatest"), ("token_overlap_pairs", "array_union"), ("cosine_pairs", "zip_with")])
 def test_pair_queries_score_blocks(spark, name, score):
     plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and score not in plan
