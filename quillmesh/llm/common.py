@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -40,8 +41,16 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x if x is not None else "" for x in column.to_pylist()]
 
 
+def trim() -> None:
+    """Gives memory that is free in this process back to the system (Arrow's pool, and the C library's where it can)."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
-    """mapInArrow for a function that yields dicts of columns; the Arrow schema comes from the Spark one."""
+    """mapInArrow for a function that yields dicts of columns; the Arrow schema comes from the Spark one. Worker
+    processes are used again by later stages, so each task ends with trim()."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -52,6 +61,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow
             )
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -150,15 +150,18 @@ def pack(
                 "sequence_id": sequences, "offset": offsets,
             }
 
-        for b in batches:
-            rows = []
-            for key, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
-                ids = np.append(words.ids(text), np.uint32(end_id))
-                rows.extend(packer.add((key, len(ids)), ids))
-            if (c := columns(rows)) is not None:
+        try:
+            for b in batches:
+                rows = []
+                for key, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+                    ids = np.append(words.ids(text), np.uint32(end_id))
+                    rows.extend(packer.add((key, len(ids)), ids))
+                if (c := columns(rows)) is not None:
+                    yield c
+            if (c := columns(packer.close())) is not None:
                 yield c
-        if (c := columns(packer.close())) is not None:
-            yield c
+        finally:
+            words.release()
 
     schema = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return map_batches(docs.select(id_col, text_col), run, schema)

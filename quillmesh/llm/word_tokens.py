@@ -83,11 +83,17 @@ class WordTokens:
         return np.concatenate([np.array(self.encoding.encode_ordinary(first), np.uint32), rest])
 
 
+    def release(self) -> None:
+        """Drops the words at the end of a task: worker processes outlive their stage, and a full table (some 300 MB)
+        would stand beside all that they run later. The vocabulary stays."""
+        self._clear()
+
+
 _TABLES: dict[tuple, WordTokens] = {}
 
 
 def word_tokens(path: str, pattern: str, special: dict[str, int] | None = None) -> WordTokens:
-    """One table for each vocabulary in a worker process."""
+    """One table for each vocabulary in a worker process. Who fills it in a task calls release() at its end."""
     key = (path, tuple(sorted((special or {}).items())))
     if key not in _TABLES:
         _TABLES[key] = WordTokens(path, pattern, special)

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillmesh.llm import chat, decontamination, packing, queries, shingle_join, toxicity, warc
+from quillmesh.llm.common import map_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,6 +83,20 @@ def test_packing(spark):
 LOG = "conv_id long, seq long, message long, kind string, role string, text string, turn int"
 
 
+def test_packing_leaves_no_words_in_workers(spark):
+    df = spark.range(4000).selectExpr("id as doc_id", "concat('start word', id, ' and more', id % 77) as text").repartition(4)
+    assert packing.pack(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() >= 4000
+
+    def words(batches):
+        from quillmesh.llm import word_tokens
+
+        for _ in batches:
+            yield {"tables": [len(word_tokens._TABLES)], "words": [sum(len(t.index) for t in word_tokens._TABLES.values())]}
+
+    held = map_batches(spark.range(16).repartition(16), words, "tables long, words long").collect()
+    assert sum(k for k, _ in held) and not sum(n for _, n in held)
+
+
 def test_chat_folding(spark):
     log = [
         (1, 1, 1, "delta", "user", "Hi"), (1, 2, 2, "delta", "assistant", "He"), (1, 3, 2, "delta", None, "llo"), (1, 4, 3, "delta", "user", "late"),
